@@ -76,7 +76,7 @@ FROM orders LEFT JOIN cust ON o_custkey = c_custkey"""
 VIEWS["lines"] = """
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY CAST(l_shipdate AS TIMESTAMP) DESC, l_partkey, l_suppkey, l_extendedprice, l_discount, l_returnflag, l_linestatus) = 1"""
+  ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_discount DESC, l_returnflag DESC, l_linestatus DESC) = 1"""
 
 VIEWS["claims"] = f"""
 SELECT l_orderkey * 10 + l_linenumber AS claim_id, l_orderkey AS policy_id, p.client_id, p.region_code,
@@ -275,18 +275,19 @@ Q = {}
 
 Q["w1_dedup_latest"] = """
 SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey, l_suppkey, l_quantity,
-  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1"""
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+  l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1"""
 Q["j8_one_per_key"] = "SELECT policy_id, client_id, produit, prime_annuelle FROM policies"
 Q["p1_normalise_codes"] = """
 SELECT claim_id, policy_id, client_id, coalesce(statut, 'inconnu') AS statut, coalesce(type_sinistre, 'inconnu') AS type_sinistre,
   coalesce(montant_declare, 0) AS montant_declare, coalesce(montant_provision, 0) AS montant_provision,
   coalesce(montant_indemnise, 0) AS montant_indemnise, region_code, coalesce(description, '') AS description, is_fraud_injected FROM messy"""
-Q["p2_explode_outer"] = """
+COVERAGES = "policies LEFT JOIN (SELECT unnest([1, 2, 3]) AS i) ON i <= policy_id % 4"
+Q["p2_explode_outer"] = f"""
 SELECT policy_id, produit, coalesce(franchise, CAST(0 AS DOUBLE)) AS franchise,
-  CASE WHEN l_linenumber IS NULL THEN 'inconnu' ELSE 'c' || l_linenumber END AS garantie_code,
-  'Non renseigné' AS garantie_libelle, l_extendedprice AS garantie_plafond, coalesce(l_returnflag = 'A', false) AS garantie_incluse
-FROM policies LEFT JOIN lines ON policy_id = l_orderkey"""
+  CASE WHEN i IS NULL THEN 'inconnu' ELSE 'c' || i END AS garantie_code,
+  'Non renseigné' AS garantie_libelle, prime_annuelle * i AS garantie_plafond, coalesce(i % 2 = 1, false) AS garantie_incluse
+FROM {COVERAGES}"""
 Q["p5_clean_policies"] = """
 SELECT policy_id, statut, produit, prime_annuelle, coalesce(prime_mensuelle, prime_annuelle / 12) AS prime_mensuelle,
   coalesce(franchise, CAST(0 AS DOUBLE)) AS franchise FROM policies"""
@@ -664,17 +665,16 @@ def n(table, src):
 
 
 VALID = "(SELECT claim_id FROM checked WHERE len(broken) = 0)"
-COVERAGES = "(SELECT policy_id FROM policies LEFT JOIN lines ON policy_id = l_orderkey WHERE prime_annuelle > 0)"
 REAGED = f"""(SELECT DISTINCT type_sinistre, statut, annee_sinistre, produit, CASE WHEN d <= 7 THEN 1 WHEN d <= 30 THEN 2 WHEN d <= 90 THEN 3 ELSE 4 END AS b
   FROM (SELECT *, greatest(DATE '2002-01-01' - date_declaration, 0) AS d FROM silver WHERE CAST(claim_id AS VARCHAR) IN {VALID}))"""
 Q["s_k_roundtrip"] = union(
     n("bronze.claims", VALID),
-    n("bronze.policies", COVERAGES),
+    n("bronze.policies", f"{COVERAGES} WHERE prime_annuelle > 0"),
     n("bronze.clients", "clients"),
     n("bronze.payments", "payments"),
     n("dead_letter_queue.claims", "(SELECT claim_id FROM checked WHERE len(broken) > 0)"),
     n("silver.claims", VALID),
-    n("silver.policies", COVERAGES),
+    n("silver.policies", f"{COVERAGES} WHERE prime_annuelle > 0"),
     n("silver.clients", "clients"),
     n("gold.portfolio_kpis", "pkpis"),
     n("gold.earned_premium", "policies"),

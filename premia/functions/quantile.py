@@ -10,36 +10,40 @@ from pyspark.sql import functions as F
 BUCKETS = 1024
 
 
-def _value_at(df: DataFrame, column: str, rank: int, low: float, high: float) -> float:
-    """Value with the zero-based ``rank``: narrow [low, high] until one value is left.
+def _neighbours(values: DataFrame, column: str, rank: int, low: float, high: float) -> tuple[float, float]:
+    """Values with the zero-based ranks ``rank`` and ``rank + 1`` (the first one again if it is the last).
 
-    Each pass counts the rows still in the bracket into at most BUCKETS groups, combined map-side, and
-    moves to the smallest and largest value of the group that holds the rank. The two ends of a bracket
-    never share a group, so the bracket shrinks on every pass whatever the distribution.
+    Each pass counts the rows still in the bracket [low, high] into at most BUCKETS groups, combined
+    map-side, and moves to the smallest and largest value of the group that holds the rank. The two ends
+    of a bracket never share a group, so it shrinks on every pass whatever the distribution.
     """
-    before = 0
-    while low < high:
+    before, above = 0, None
+    while True:
+        inside = values.filter(F.col(column).between(low, high))
         width = (high - low) / BUCKETS
-        slot = F.least(F.lit(BUCKETS - 1), F.floor((F.col(column) - F.lit(low)) / F.lit(width)))
+        slot = F.floor((F.col(column) - F.lit(low)) / F.lit(width)) if low < high else F.lit(0)
         counts = (
-            df.filter(F.col(column).between(low, high))
-            .groupBy(slot.alias("slot"))
+            inside.groupBy(F.least(F.lit(BUCKETS - 1), slot).alias("slot"))
             .agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
             .orderBy("slot")
             .collect()
         )
-        for row in counts:
+        for i, row in enumerate(counts):
             if before + row["n"] > rank:
-                low, high = row["lo"], row["hi"]
                 break
             before += row["n"]
-    return low
+        if i + 1 < len(counts):
+            above = counts[i + 1]["lo"]
+        low, high = row["lo"], row["hi"]
+        if low == high:
+            repeated = before + row["n"] > rank + 1
+            return low, low if repeated or above is None else above
 
 
 def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     """Quantile with linear interpolation between neighbours; nulls are left out; null on no rows.
 
-    Reads the one column a few times (three or four passes for amounts in cents).
+    Reads the one column three or four times for amounts in cents.
     """
     values = df.select(F.col(column).cast("double").alias(column)).filter(F.col(column).isNotNull())
     stats = values.agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
@@ -47,12 +51,5 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
         return None
     position = p * (stats["n"] - 1)
     k = math.floor(position)
-    lower = _value_at(values, column, k, stats["lo"], stats["hi"])
-    if position == k:
-        return lower
-    # The next order statistic repeats the value if more than k + 1 rows are at or below it.
-    after = values.agg(
-        F.count_if(F.col(column) <= lower).alias("n"), F.min(F.when(F.col(column) > lower, F.col(column))).alias("next")
-    ).first()
-    upper = lower if after["n"] > k + 1 else after["next"]
+    lower, upper = _neighbours(values, column, k, stats["lo"], stats["hi"])
     return lower + (upper - lower) * (position - k)

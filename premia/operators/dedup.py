@@ -9,29 +9,30 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str] = ("ingestion_timestamp",),
-    tie_break: Sequence[str] | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ("ingestion_timestamp",)
 ) -> DataFrame:
-    """Keep the row with the greatest ``order_by``; ties go to the smallest ``tie_break``.
+    """Keep the row with the greatest ``order_by``; ties go to the greatest row in column order.
 
-    ``tie_break`` defaults to every other column, so equal candidates are equal rows. The filter on
-    ``row_number() = 1`` lets Spark keep one row per key in each map task before the shuffle, so a key
-    with very many copies sends one row per task.
+    Written as an aggregate and not as ``row_number() = 1``: it combines map-side, so a key with very
+    many copies sends one row per task, and Catalyst knows that the keys are unique afterwards, so a left
+    join to the result is dropped where no column of it is used.
     """
-    if tie_break is None:
-        tie_break = [c for c in df.columns if c not in (*keys, *order_by)]
-    order = [F.col(c).desc() for c in order_by] + [F.col(c).asc() for c in tie_break]
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)])))
-    return df.withColumn("_row", first).filter(F.col("_row") == 1).drop("_row")
+    rest = [c for c in df.columns if c not in (*keys, *order_by)]
+    if not order_by and not rest:
+        return df.distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*order_by, *rest)).alias("_row"))
+    return best.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key where any survivor will do: the smallest in column order."""
+    """One row per key where any survivor will do: the greatest in column order."""
     return latest_per_key(df, keys, order_by=())
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order_by: str, tie_break: Sequence[str]) -> DataFrame:
-    """Row with the greatest ``order_by`` in each group."""
-    return latest_per_key(df, group, [order_by], tie_break)
+    """Row with the greatest ``order_by`` in each group; ties go to the smallest ``tie_break``.
+
+    Spark limits each group to one row in every map task before the shuffle.
+    """
+    best = Window.partitionBy(*group).orderBy(F.col(order_by).desc(), *tie_break)
+    return df.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") == 1).drop("_rank")

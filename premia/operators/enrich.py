@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.functions import bounded
 from premia.operators.dedup import one_per_key
 
 POLICY_COLUMNS = (
@@ -20,31 +19,28 @@ def one_policy_per_id(policies: DataFrame) -> DataFrame:
     return one_per_key(policies.select(*[c for c in policies.columns if not c.startswith("garantie_")]), ["policy_id"])
 
 
+def with_policy(claims: DataFrame, policies: DataFrame, columns: tuple = POLICY_COLUMNS) -> DataFrame:
+    """Every claim with the columns of its policy, and whether the policy was found."""
+    wanted = [F.col(c) for c in columns] + [F.col("statut").alias("statut_police")]
+    policy = one_per_key(policies.select("policy_id", *wanted), ["policy_id"])
+    return claims.join(policy, "policy_id", "left").withColumn("has_valid_policy", F.col("produit").isNotNull())
+
+
+def with_client(claims: DataFrame, clients: DataFrame, columns: tuple = CLIENT_COLUMNS) -> DataFrame:
+    """Every claim with the columns of its client, and whether the client was found."""
+    wanted = [F.col(c) for c in columns]
+    wanted += [F.col("date_creation").alias("date_creation_client"), F.col("actif").alias("client_actif")]
+    client = one_per_key(clients.select("client_id", *wanted), ["client_id"])
+    return claims.join(client, "client_id", "left").withColumn("has_valid_client", F.col("client_type").isNotNull())
+
+
 def enrich_claims(claims: DataFrame, policies: DataFrame, clients: DataFrame) -> DataFrame:
     """Every claim with its policy and client columns, and whether each of the two was found.
 
     Plain left equi-joins: Catalyst takes a broadcast where a side is small, and AQE splits a policy or
     client that holds very many claims, because the claims are the streamed side.
     """
-    policy = one_per_key(
-        policies.select("policy_id", *POLICY_COLUMNS, F.col("statut").alias("statut_police")), ["policy_id"]
-    )
-    client = one_per_key(
-        clients.select(
-            "client_id",
-            *CLIENT_COLUMNS,
-            F.col("date_creation").alias("date_creation_client"),
-            F.col("actif").alias("client_actif"),
-        ),
-        ["client_id"],
-    )
-    return (
-        claims.join(policy, "policy_id", "left")
-        .join(client, "client_id", "left")
-        .withColumns(
-            {"has_valid_policy": F.col("produit").isNotNull(), "has_valid_client": F.col("client_type").isNotNull()}
-        )
-    )
+    return with_client(with_policy(claims, policies), clients)
 
 
 def with_subscription_date(claims: DataFrame, policies: DataFrame) -> DataFrame:
@@ -63,8 +59,11 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 def attach_label(
     df: DataFrame, dim: DataFrame, key: str = "region_code", code: str = "code", label: str = "nom", out: str = "region_nom"
 ) -> DataFrame:
-    """Add the label of a code; a code without one keeps the code itself as label."""
-    names = bounded(one_per_key(dim.select(F.trim(code).alias("_code"), F.col(label).alias("_label")), ["_code"]))
+    """Add the label of a code; a code without one keeps the code itself as label.
+
+    Catalyst knows the file size of the dimension and broadcasts it below its threshold.
+    """
+    names = one_per_key(dim.select(F.trim(code).alias("_code"), F.col(label).alias("_label")), ["_code"])
     text = F.trim(F.col(key).cast("string"))
     return df.join(names, text == F.col("_code"), "left").withColumn(
         out, F.coalesce(F.col("_label"), F.col(key).cast("string"))
@@ -72,7 +71,7 @@ def attach_label(
 
 
 def attach_columns(df: DataFrame, dim: DataFrame | None, key: str, columns: tuple) -> DataFrame:
-    """Left join of a small dimension; skipped where the dimension is absent."""
+    """Left join of a dimension with one row per key; skipped where the dimension is absent."""
     if dim is None:
         return df
-    return df.join(bounded(dim.select(key, *columns)), key, "left")
+    return df.join(dim.select(key, *columns), key, "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.entities import FLAGS
-from premia.functions import exact_quantile, money_avg, money_sum
+from premia.functions import money_avg, money_sum
 from premia.operators.dedup import top_per_group
 from premia.operators.enrich import attach_label
 
@@ -192,18 +192,15 @@ def crosstab(
     return out if fill is None else out.fillna(fill)
 
 
-def histogram_below_quantile(
-    df: DataFrame, column: str = "montant_declare", group: str = "produit", p: float = 0.99, bins: int = 60
+def histogram(
+    df: DataFrame, column: str = "montant_declare", group: str = "produit", below: float | None = None, bins: int = 60
 ) -> DataFrame:
-    """Counts of values below the exact quantile ``p`` in equal-width bins, per group."""
-    cut = exact_quantile(df, column, p)
-    if cut is None:
-        cut = 0.0
-    kept = df.filter(F.col(column) < cut)
+    """Counts of values (of those under ``below``) in equal-width bins, per group."""
+    kept = df if below is None else df.filter(F.col(column) < below)
     low, high = kept.agg(F.min(column), F.max(column)).first()
     width = (high - low) / bins if low is not None and high > low else 1.0
     slot = F.least(F.lit(bins - 1), F.floor((F.col(column) - F.lit(low)) / F.lit(width)))
-    return kept.dropna(subset=[group]).groupBy(group, slot.cast("int").alias("bin")).agg(F.count("*").alias("nb"))
+    return kept.dropna(subset=[group, column]).groupBy(group, slot.cast("int").alias("bin")).agg(F.count("*").alias("nb"))
 
 
 def kpi_listing(kpis: DataFrame, regions: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.entities import CLAIM_TYPES, PRODUCTS
-from premia.functions import money_avg, money_sum
+from premia.functions import exact_quantile, money_avg, money_sum
 from premia.operators import aging, churn, clean, dedup, enrich, expectations, exposure, fraud, kpis, premium, privacy
 from premia.operators import reports, validate
 from premia.plans import medallion
@@ -40,7 +40,7 @@ def _premiums(spark, sf):
 
 
 def _losses(spark, sf):
-    return premium.incurred_loss(d.silver_claims(spark, sf))
+    return premium.incurred_loss(d.insured_claims(spark, sf))
 
 
 def _kpis(spark, sf):
@@ -52,23 +52,23 @@ def _quarterly(spark, sf):
 
 
 def _fraud(spark, sf):
-    return fraud.assess(d.silver_claims(spark, sf), d.policies(spark, sf), d.clients(spark, sf), FRAUD)
+    return fraud.assess(d.insured_claims(spark, sf, region=False), d.policies(spark, sf, region=False), d.clients(spark, sf), FRAUD)
 
 
 def _churn(spark, sf):
     return churn.churn_scores(
-        d.clients(spark, sf), d.policies(spark, sf), d.claims(spark, sf), d.payments(spark, sf), d.as_of()
+        d.clients(spark, sf), d.policies(spark, sf, region=False), d.client_claims(spark, sf), d.payments(spark, sf), d.as_of()
     )
 
 
 def _named(spark, sf):
     """Silver claims with region name."""
-    return enrich.attach_label(d.silver_claims(spark, sf), d.regions(spark, sf))
+    return enrich.attach_label(d.insured_claims(spark, sf), d.regions(spark, sf))
 
 
 def _claims_named(spark, sf):
     """Claims with region name, without policy and client columns."""
-    return enrich.attach_label(d.timed_claims(spark, sf), d.regions(spark, sf))
+    return enrich.attach_label(d.timed(d.claims(spark, sf)), d.regions(spark, sf))
 
 
 def _messy(spark, sf):
@@ -94,14 +94,17 @@ def _messy(spark, sf):
 
 
 def _coverages(spark, sf):
-    """Policies with their order lines as an array of coverages; at most seven lines per order."""
-    line = F.struct(
-        F.concat(F.lit("C"), F.col("l_linenumber").cast("string")).alias("code"),
-        F.col("l_extendedprice").alias("plafond"),
-        (F.col("l_returnflag") == "A").alias("incluse"),
+    """Policies with none to three coverages each."""
+    number = F.col("policy_id") % 4
+    coverages = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), number),
+        lambda i: F.struct(
+            F.concat(F.lit("C"), i.cast("string")).alias("code"),
+            (F.col("prime_annuelle") * i).alias("plafond"),
+            (i % 2 == 1).alias("incluse"),
+        ),
     )
-    lines = d.lineitems(spark, sf).groupBy(F.col("l_orderkey").alias("policy_id")).agg(F.collect_list(line).alias("garanties"))
-    return d.policies(spark, sf).join(lines, "policy_id", "left")
+    return d.policies(spark, sf).withColumn("garanties", F.when(number > 0, coverages))
 
 
 def _flat_coverages(spark, sf):
@@ -137,7 +140,7 @@ def p2_explode_outer(spark, sf):
 
 @query
 def p5_clean_policies(spark, sf):
-    return clean.clean_policies(d.policies(spark, sf)).select(
+    return clean.clean_policies(d.policies(spark, sf, region=False)).select(
         "policy_id", "statut", "produit", "prime_annuelle", "prime_mensuelle", "franchise"
     )
 
@@ -148,23 +151,23 @@ def p6_parse_dates(spark, sf):
     text = F.when(style == 5, F.lit("junk"))
     for i, fmt in enumerate(("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "dd-MM-yyyy")):
         text = text.when(style == i, F.date_format(day, fmt))
-    rendered = d.claims(spark, sf).select("claim_id", text.alias("date_texte"))
+    rendered = d.claim_lines(spark, sf).select("claim_id", text.alias("date_texte"))
     return clean.parse_dates(rendered.withColumn("date_sinistre", F.col("date_texte")), ["date_sinistre", "absente"])
 
 
 @query
 def p7_declaration_delay(spark, sf):
-    return clean.declaration_delay(d.claims(spark, sf)).select("claim_id", "delai_declaration_jours")
+    return clean.declaration_delay(d.claim_lines(spark, sf)).select("claim_id", "delai_declaration_jours")
 
 
 @query
 def p8_period_columns(spark, sf):
-    return clean.with_period(d.claims(spark, sf)).select("claim_id", "annee_sinistre", "mois_sinistre", "trimestre")
+    return clean.with_period(d.claim_lines(spark, sf)).select("claim_id", "annee_sinistre", "mois_sinistre", "trimestre")
 
 
 @query
 def p11_incurred_loss(spark, sf):
-    return premium.incurred_loss(d.claims(spark, sf)).select("claim_id", "statut", "incurred_loss")
+    return premium.incurred_loss(d.claim_lines(spark, sf)).select("claim_id", "statut", "incurred_loss")
 
 
 @query
@@ -183,12 +186,12 @@ def p12_earned_by_quarter(spark, sf):
 
 @query
 def p16_processing_delay(spark, sf):
-    return clean.processing_delay(d.claims(spark, sf), d.as_of()).select("claim_id", "delai_traitement_jours")
+    return clean.processing_delay(d.claim_lines(spark, sf), d.as_of()).select("claim_id", "delai_traitement_jours")
 
 
 @query
 def p17_aging_bucket(spark, sf):
-    return clean.processing_delay(d.claims(spark, sf), d.as_of()).select(
+    return clean.processing_delay(d.claim_lines(spark, sf), d.as_of()).select(
         "claim_id", clean.aging_bucket().alias("aging_bucket"), clean.aging_order().alias("bucket_order")
     )
 
@@ -222,9 +225,9 @@ def v9_volumetry(spark, sf):
 @query
 def j1_enriched_claims(spark, sf):
     """Against policies subscribed by the end of the window and active clients, so that orphans occur."""
-    book = d.policies(spark, sf).filter(F.col("date_souscription") <= d.WINDOW[1])
+    book = d.policies(spark, sf, region=False).filter(F.col("date_souscription") <= d.WINDOW[1])
     known = d.clients(spark, sf).filter("actif")
-    return enrich.enrich_claims(d.claims(spark, sf), book, known).select(
+    return enrich.enrich_claims(d.client_claims(spark, sf), book, known).select(
         "claim_id", "policy_id", "client_id", "produit", "canal_vente", "statut_police", "prime_annuelle",
         "client_type", "segment", "client_actif", "has_valid_policy", "has_valid_client",
     )
@@ -237,14 +240,14 @@ def j10_region_label(spark, sf):
 
 @query
 def j12_orphans(spark, sf):
-    return enrich.orphans(d.claims(spark, sf), exposure.active_policies(d.policies(spark, sf)), "policy_id").select(
+    return enrich.orphans(d.client_claims(spark, sf), exposure.active_policies(d.policies(spark, sf, region=False)), "policy_id").select(
         "claim_id", "policy_id"
     )
 
 
 @query
 def j13_semi_filter(spark, sf):
-    late = fraud.flag_late(d.timed_claims(spark, sf), FRAUD.late_declaration_days).select("claim_id", "flag_late_declaration")
+    late = fraud.flag_late(d.timed(d.claims(spark, sf)), FRAUD.late_declaration_days).select("claim_id", "flag_late_declaration")
     chosen = reports.slice_claims(_named(spark, sf), ("auto", "vie"), ("clos", "refuse"), (1997, 1999), ("0", "1", "2"))
     return reports.with_claim_region(reports.fraud_in_slice(late, chosen), chosen)
 
@@ -264,7 +267,7 @@ def a2_premium_kpis(spark, sf):
 
 @query
 def a3_amount_statistics(spark, sf):
-    return d.silver_claims(spark, sf).groupBy("produit").agg(
+    return d.insured_claims(spark, sf, region=False).groupBy("produit").agg(
         F.round(money_avg("montant_declare"), 4).alias("mean_montant"),
         F.round(F.stddev_samp("montant_declare"), 4).alias("std_montant"),
     )
@@ -303,33 +306,33 @@ def j7_occurrence_period(spark, sf):
 
 @query
 def r1_early_claim(spark, sf):
-    return fraud.flag_early(d.claims(spark, sf), d.policies(spark, sf), FRAUD.early_claim_hours).select(
+    return fraud.flag_early(d.claim_lines(spark, sf), d.policies(spark, sf, region=False), FRAUD.early_claim_hours).select(
         "claim_id", "date_souscription", "flag_early_claim"
     )
 
 
 @query
 def r2_high_amount(spark, sf):
-    return fraud.flag_high_amount(d.silver_claims(spark, sf), FRAUD.high_amount_stddev).select("claim_id", "flag_high_amount")
+    return fraud.flag_high_amount(d.insured_claims(spark, sf, region=False), FRAUD.high_amount_stddev).select("claim_id", "flag_high_amount")
 
 
 @query
 def r3_frequent_claimant(spark, sf):
-    return fraud.flag_frequent(d.claims(spark, sf), FRAUD.frequent_claimant_count, FRAUD.frequent_claimant_window).select(
+    return fraud.flag_frequent(d.client_claims(spark, sf), FRAUD.frequent_claimant_count, FRAUD.frequent_claimant_window).select(
         "claim_id", "flag_frequent_claimant"
     )
 
 
 @query
 def r4_address_cluster(spark, sf):
-    return fraud.flag_cluster(d.silver_claims(spark, sf), d.clients(spark, sf), FRAUD.address_cluster_days).select(
+    return fraud.flag_cluster(d.insured_claims(spark, sf, region=False), d.clients(spark, sf), FRAUD.address_cluster_days).select(
         "claim_id", "flag_address_cluster"
     )
 
 
 @query
 def r5_late_declaration(spark, sf):
-    return fraud.flag_late(d.timed_claims(spark, sf), FRAUD.late_declaration_days).select("claim_id", "flag_late_declaration")
+    return fraud.flag_late(d.timed(d.claim_lines(spark, sf)), FRAUD.late_declaration_days).select("claim_id", "flag_late_declaration")
 
 
 @query
@@ -359,12 +362,12 @@ def c2_unpaid(spark, sf):
 
 @query
 def c3_refused(spark, sf):
-    return churn.with_refused(d.clients(spark, sf), d.claims(spark, sf)).select("client_id", "score_refused", "nb_refuses")
+    return churn.with_refused(d.clients(spark, sf), d.client_claims(spark, sf)).select("client_id", "score_refused", "nb_refuses")
 
 
 @query
 def c4_mono_contract(spark, sf):
-    return churn.with_mono_contract(d.clients(spark, sf), d.policies(spark, sf)).select(
+    return churn.with_mono_contract(d.clients(spark, sf), d.policies(spark, sf, region=False)).select(
         "client_id", "nb_contrats", "score_mono_contract"
     )
 
@@ -384,7 +387,7 @@ def a7_exposure(spark, sf):
 
 @query
 def a8_concentration(spark, sf):
-    return exposure.concentration(exposure.active_policies(d.policies(spark, sf))).withColumn(
+    return exposure.concentration(exposure.active_policies(d.policies(spark, sf, region=False))).withColumn(
         "hhi_component", F.round("hhi_component", 6)
     )
 
@@ -396,7 +399,7 @@ def a10_hhi(spark, sf):
 
 @query
 def a10_hhi_on_rows(spark, sf):
-    return exposure.with_hhi(d.policies(spark, sf), "prime_annuelle", "canal_vente").select("policy_id", "hhi_prime_annuelle")
+    return exposure.with_hhi(d.policies(spark, sf, region=False), "prime_annuelle", "canal_vente").select("policy_id", "hhi_prime_annuelle")
 
 
 @query
@@ -412,19 +415,19 @@ def g5_portfolio_exposure(spark, sf):
 
 @query
 def g4_aging_detail(spark, sf):
-    return aging.aging_detail(d.timed_claims(spark, sf), d.as_of()).select(
+    return aging.aging_detail(d.timed(d.claim_lines(spark, sf)), d.as_of()).select(
         "claim_id", "type_sinistre", "statut", "annee", "delai_traitement_jours", "aging_bucket"
     )
 
 
 @query
 def g4_aging_summary(spark, sf):
-    return aging.aging_summary(aging.aging_detail(d.silver_claims(spark, sf), d.as_of()))
+    return aging.aging_summary(aging.aging_detail(d.insured_claims(spark, sf, region=False), d.as_of()))
 
 
 @query
 def a12_exact_quantiles(spark, sf):
-    detail = aging.aging_detail(d.timed_claims(spark, sf), d.as_of())
+    detail = aging.aging_detail(d.timed(d.claim_lines(spark, sf)), d.as_of())
     return aging.aging_summary(detail, ("type_sinistre", "aging_bucket"), exact=True)
 
 
@@ -440,7 +443,7 @@ def q_bronze_suite(spark, sf):
 @query
 def q_silver_suite(spark, sf):
     return expectations.silver_suite(
-        d.silver_claims(spark, sf), d.policies(spark, sf), d.clients(spark, sf), _quarterly(spark, sf), d.as_of()
+        d.insured_claims(spark, sf), d.policies(spark, sf), d.clients(spark, sf), _quarterly(spark, sf), d.as_of()
     )
 
 
@@ -461,7 +464,7 @@ def q21_declarative(spark, sf):
 @query
 def q23_anomalies(spark, sf):
     raw_delay = clean.day_gap(
-        d.silver_claims(spark, sf), "date_sinistre", "date_declaration", "delai_declaration_jours", negative="keep"
+        d.insured_claims(spark, sf, region=False), "date_sinistre", "date_declaration", "delai_declaration_jours", negative="keep"
     )
     return expectations.anomalies(raw_delay)
 
@@ -471,7 +474,7 @@ def q23_anomalies(spark, sf):
 
 @query
 def m1_null_rates(spark, sf):
-    bronze, silver, gold = clean.cast_claims(_messy(spark, sf)), d.timed_claims(spark, sf), _fraud(spark, sf)
+    bronze, silver, gold = clean.cast_claims(_messy(spark, sf)), d.timed(d.claims(spark, sf)), _fraud(spark, sf)
     return reports.null_rates(
         {
             ("bronze", "claims"): (bronze, ("claim_id", "policy_id", "client_id", "montant_declare", "statut")),
@@ -506,7 +509,7 @@ def m2_named_bands(spark, sf):
 
 @query
 def m3_indemnification(spark, sf):
-    return reports.indemnification(d.silver_claims(spark, sf))
+    return reports.indemnification(d.insured_claims(spark, sf, region=False))
 
 
 @query
@@ -553,7 +556,7 @@ def m6_latest_run(spark, sf):
 
 @query
 def m7_global_kpis(spark, sf):
-    return reports.global_kpis(d.timed_claims(spark, sf), d.policies(spark, sf), d.clients(spark, sf), _fraud(spark, sf))
+    return reports.global_kpis(d.timed(d.claims(spark, sf)), d.policies(spark, sf), d.clients(spark, sf), _fraud(spark, sf))
 
 
 # Dashboard -----------------------------------------------------------------------------------------
@@ -561,25 +564,25 @@ def m7_global_kpis(spark, sf):
 
 @query
 def b1_slice(spark, sf):
-    chosen = reports.slice_claims(d.silver_claims(spark, sf), ("auto", "sante"), ("clos", "ouvert"), (1996, 1999), ("0", "2", "4"))
+    chosen = reports.slice_claims(d.insured_claims(spark, sf), ("auto", "sante"), ("clos", "ouvert"), (1996, 1999), ("0", "2", "4"))
     return chosen.select("claim_id", "produit", "statut", "region_code", "date_sinistre")
 
 
 @query
 def b1_choices(spark, sf):
-    return reports.choices(d.silver_claims(spark, sf), "produit")
+    return reports.choices(d.insured_claims(spark, sf, region=False), "produit")
 
 
 @query
 def b2_headline(spark, sf):
-    silver = d.silver_claims(spark, sf)
+    silver = d.insured_claims(spark, sf)
     chosen = reports.slice_claims(silver, years=(1996, 1999))
     return reports.headline(chosen, reports.fraud_in_slice(_fraud(spark, sf), chosen), silver)
 
 
 @query
 def b3_frequency_status(spark, sf):
-    return reports.frequency(d.claims(spark, sf), "statut")
+    return reports.frequency(d.claim_lines(spark, sf), "statut")
 
 
 @query
@@ -590,7 +593,7 @@ def b4_claims_by_region(spark, sf):
 
 @query
 def b5_monthly_trend(spark, sf):
-    return reports.trend(d.claims(spark, sf))
+    return reports.trend(d.claim_lines(spark, sf))
 
 
 @query
@@ -616,13 +619,13 @@ def b9_trigger_totals(spark, sf):
 
 @query
 def b10_paid_rate_by_product(spark, sf):
-    return reports.paid_rate_by(d.silver_claims(spark, sf), ["produit"])
+    return reports.paid_rate_by(d.insured_claims(spark, sf, region=False), ["produit"])
 
 
 @query
 def b11_amount_by_type(spark, sf):
     measures = {"avg_amount": money_avg("montant_declare"), "nb": F.count("claim_id")}
-    return reports.by_group(d.claims(spark, sf), ["type_sinistre"], measures, "avg_amount")
+    return reports.by_group(d.claim_lines(spark, sf), ["type_sinistre"], measures, "avg_amount")
 
 
 @query
@@ -661,7 +664,9 @@ def b15_crosstab_paid_rate(spark, sf):
 
 @query
 def b16_histogram(spark, sf):
-    return reports.histogram_below_quantile(d.silver_claims(spark, sf))
+    """Sixty bins under the 99th percentile of the declared amount, by product."""
+    cut = exact_quantile(d.claim_lines(spark, sf), "montant_declare", 0.99)
+    return reports.histogram(d.insured_claims(spark, sf, region=False), below=cut)
 
 
 @query
@@ -723,19 +728,19 @@ def x1_pseudonymise(spark, sf):
 
 @query
 def x2_mask(spark, sf):
-    return privacy.mask(d.claims(spark, sf).select("claim_id", "statut", "montant_declare"), ["montant_declare"], "dev")
+    return privacy.mask(d.claim_lines(spark, sf).select("claim_id", "statut", "montant_declare"), ["montant_declare"], "dev")
 
 
 @query
 def x3_erase(spark, sf):
     gone = d.clients(spark, sf).filter(~F.col("actif"))
-    return privacy.erase(d.claims(spark, sf), gone).select("claim_id", "client_id")
+    return privacy.erase(d.client_claims(spark, sf), gone).select("claim_id", "client_id")
 
 
 @query
 def x4_upsert(spark, sf):
     """Corrections: a refused claim is reopened with a later date."""
-    current = d.claims(spark, sf).select("claim_id", "statut", "montant_declare", "date_declaration")
+    current = d.claim_lines(spark, sf).select("claim_id", "statut", "montant_declare", "date_declaration")
     fixed = current.filter(F.col("statut") == "refuse").withColumns(
         {"statut": F.lit("ouvert"), "date_declaration": F.date_add("date_declaration", 30)}
     )
@@ -744,7 +749,7 @@ def x4_upsert(spark, sf):
 
 @query
 def x5_retain(spark, sf):
-    return privacy.retain(d.claims(spark, sf), "date_sinistre", 5, d.as_of()).select("claim_id", "date_sinistre")
+    return privacy.retain(d.claim_lines(spark, sf), "date_sinistre", 5, d.as_of()).select("claim_id", "date_sinistre")
 
 
 def shared_folder(spark: SparkSession) -> str:

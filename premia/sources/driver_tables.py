@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from premia.entities import CHANNELS, CLAIM_TYPES, CLIENT_TYPES, PRODUCTS
 from premia.functions import cents
 from premia.operators.clean import declaration_delay, with_period
 from premia.operators.dedup import latest_per_key
-from premia.operators.enrich import enrich_claims
+from premia.operators.enrich import POLICY_COLUMNS, with_client, with_policy
 
 # Observation window of earned premium and reference day of the driver tables.
 WINDOW = ("1996-01-01", "2000-12-31")
@@ -24,8 +25,15 @@ def as_of() -> Column:
     return F.lit(AS_OF_DAY).cast("date")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def pick(values: tuple, index: Column) -> Column:
@@ -53,68 +61,80 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def policies(spark: SparkSession, sf_dir: str, region: bool = True) -> DataFrame:
+    """Orders as policies. ``region`` is the one column that needs the customers."""
     key, price = F.col("o_orderkey"), cents("o_totalprice")
     start = F.col("o_orderdate").cast("date")
-    region = _customer_region(spark, sf_dir).select("c_custkey", F.col("n_regionkey").cast("string").alias("region_code"))
-    return (
-        table(spark, sf_dir, "orders")
-        .join(region, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select(
-            key.alias("policy_id"),
-            F.col("o_custkey").alias("client_id"),
-            pick(PRODUCTS, F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("produit"),
-            start.alias("date_souscription"),
-            F.date_add(start, (365 * (1 + key % 5)).cast("int")).alias("date_echeance"),
-            (F.floor(price / 2) / 100.0).alias("prime_annuelle"),
-            F.when(key % 4 != 0, F.floor(price / 24) / 100.0).alias("prime_mensuelle"),
-            pick(CHANNELS, key % 5).alias("canal_vente"),
-            F.when(F.col("o_orderstatus") == "O", "actif").when(F.col("o_orderstatus") == "F", "resilié").otherwise("suspendu").alias("statut"),
-            "region_code",
-            F.when(key % 6 != 0, (key % 4) * 100.0).alias("franchise"),
-            (price / 10.0).alias("plafond_garantie"),
-        )
+    status = F.when(F.col("o_orderstatus") == "O", "actif").when(F.col("o_orderstatus") == "F", "resilié")
+    orders = table(spark, sf_dir, "orders")
+    if region:
+        home = _customer_region(spark, sf_dir).select("c_custkey", F.col("n_regionkey").cast("string").alias("region_code"))
+        orders = orders.join(home, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return orders.select(
+        key.alias("policy_id"),
+        F.col("o_custkey").alias("client_id"),
+        pick(PRODUCTS, F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("produit"),
+        start.alias("date_souscription"),
+        F.date_add(start, (365 * (1 + key % 5)).cast("int")).alias("date_echeance"),
+        (F.floor(price / 2) / 100.0).alias("prime_annuelle"),
+        F.when(key % 4 != 0, F.floor(price / 24) / 100.0).alias("prime_mensuelle"),
+        pick(CHANNELS, key % 5).alias("canal_vente"),
+        status.otherwise("suspendu").alias("statut"),
+        *(["region_code"] if region else []),
+        F.when(key % 6 != 0, (key % 4) * 100.0).alias("franchise"),
+        (price / 10.0).alias("plafond_garantie"),
     )
 
 
 def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order line: the latest shipment, ties by the other columns that claims use."""
+    """One row per order line: the latest shipment, ties by the columns that claims use."""
     used = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
     )
-    return latest_per_key(used, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    # Every branch of a query then starts from the same scan, so that they share its shuffle.
+    keyed = used.filter(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull())
+    return latest_per_key(keyed, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
-def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims without their client and region, which the order line does not carry."""
     price = cents("l_extendedprice")
     event = F.col("l_shipdate").cast("date")
     declared = F.date_add(event, (F.col("l_partkey") % 300 - 10).cast("int"))
     code = F.concat("l_returnflag", "l_linestatus")
-    owner = policies(spark, sf_dir).select("policy_id", "client_id", "region_code")
-    return (
-        lineitems(spark, sf_dir)
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
-            F.col("l_orderkey").alias("policy_id"),
-            pick(CLAIM_TYPES, F.col("l_partkey") % 12).alias("type_sinistre"),
-            event.alias("date_sinistre"),
-            declared.alias("date_declaration"),
-            F.when(F.col("l_suppkey") % 3 != 0, F.date_add(declared, (F.col("l_suppkey") % 180).cast("int"))).alias("date_cloture"),
-            F.col("l_extendedprice").alias("montant_declare"),
-            (F.floor(price * 8 / 10) / 100.0).alias("montant_provision"),
-            (F.floor(price * (100 - F.round(F.col("l_discount") * 100).cast("bigint")) / 100) / 100.0).alias("montant_indemnise"),
-            F.when(code == "NF", "refuse")
-            .when(code.isin("RF", "RO"), "clos")
-            .when(code == "AO", "ouvert")
-            .when(code == "AF", "en_cours")
-            .otherwise("en_litige")
-            .alias("statut"),
-        )
-        .join(owner, "policy_id", "left")
+    discount = F.round(F.col("l_discount") * 100).cast("bigint")
+    return lineitems(spark, sf_dir).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
+        F.col("l_orderkey").alias("policy_id"),
+        pick(CLAIM_TYPES, F.col("l_partkey") % 12).alias("type_sinistre"),
+        event.alias("date_sinistre"),
+        declared.alias("date_declaration"),
+        F.when(F.col("l_suppkey") % 3 != 0, F.date_add(declared, (F.col("l_suppkey") % 180).cast("int"))).alias("date_cloture"),
+        F.col("l_extendedprice").alias("montant_declare"),
+        (F.floor(price * 8 / 10) / 100.0).alias("montant_provision"),
+        (F.floor(price * (100 - discount) / 100) / 100.0).alias("montant_indemnise"),
+        F.when(code == "NF", "refuse")
+        .when(code.isin("RF", "RO"), "clos")
+        .when(code == "AO", "ouvert")
+        .when(code == "AF", "en_cours")
+        .otherwise("en_litige")
+        .alias("statut"),
     )
 
 
+def client_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims with the client of their order."""
+    owner = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("policy_id"), F.col("o_custkey").alias("client_id"))
+    return claim_lines(spark, sf_dir).join(owner, "policy_id", "left")
+
+
+def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims with client and region."""
+    owner = policies(spark, sf_dir).select("policy_id", "client_id", "region_code")
+    return claim_lines(spark, sf_dir).join(owner, "policy_id", "left")
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, sf_dir, "events").select(
@@ -136,11 +156,18 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def timed_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def timed(claims: DataFrame) -> DataFrame:
     """Claims with declaration delay and period columns."""
-    return with_period(declaration_delay(claims(spark, sf_dir)))
+    return with_period(declaration_delay(claims))
+
+
+def insured_claims(spark: SparkSession, sf_dir: str, region: bool = True) -> DataFrame:
+    """Claims with delay, period, client, region and the columns of their policy: one join serves both."""
+    book = policies(spark, sf_dir, region)
+    owner = ("client_id", "region_code") if region else ("client_id",)
+    return with_policy(timed(claim_lines(spark, sf_dir)), book, (*POLICY_COLUMNS, *owner))
 
 
 def silver_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims with delay, period, policy and client columns."""
-    return enrich_claims(timed_claims(spark, sf_dir), policies(spark, sf_dir), clients(spark, sf_dir))
+    return with_client(insured_claims(spark, sf_dir), clients(spark, sf_dir))
