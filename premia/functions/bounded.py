@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Return ``df`` as a local relation when it has at most ``max_rows`` rows, else unchanged.
+    """Return ``df`` ready for a broadcast if it has at most ``max_rows`` rows, else unchanged.
 
-    At most ``max_rows + 1`` rows reach the driver. Catalyst knows the exact size of a local relation and
-    broadcasts it below its own threshold. A larger frame stays a distributed plan, which Catalyst joins by
-    shuffle and AQE splits where a key is hot, so no result depends on the bound.
+    At most ``max_rows + 1`` rows reach the driver, and a small frame is computed only this once. A larger
+    one stays a distributed plan that is joined by shuffle, so no result depends on the bound.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

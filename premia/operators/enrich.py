@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premia.functions import left_join
 from premia.operators.dedup import one_per_key
 
 POLICY_COLUMNS = (
@@ -23,7 +24,7 @@ def with_policy(claims: DataFrame, policies: DataFrame, columns: tuple = POLICY_
     """Every claim with the columns of its policy, and whether the policy was found."""
     wanted = [F.col(c) for c in columns] + [F.col("statut").alias("statut_police")]
     policy = one_per_key(policies.select("policy_id", *wanted), ["policy_id"])
-    return claims.join(policy, "policy_id", "left").withColumn("has_valid_policy", F.col("produit").isNotNull())
+    return left_join(claims, policy, "policy_id").withColumn("has_valid_policy", F.col("produit").isNotNull())
 
 
 def with_client(claims: DataFrame, clients: DataFrame, columns: tuple = CLIENT_COLUMNS) -> DataFrame:
@@ -31,14 +32,14 @@ def with_client(claims: DataFrame, clients: DataFrame, columns: tuple = CLIENT_C
     wanted = [F.col(c) for c in columns]
     wanted += [F.col("date_creation").alias("date_creation_client"), F.col("actif").alias("client_actif")]
     client = one_per_key(clients.select("client_id", *wanted), ["client_id"])
-    return claims.join(client, "client_id", "left").withColumn("has_valid_client", F.col("client_type").isNotNull())
+    return left_join(claims, client, "client_id").withColumn("has_valid_client", F.col("client_type").isNotNull())
 
 
 def enrich_claims(claims: DataFrame, policies: DataFrame, clients: DataFrame) -> DataFrame:
     """Every claim with its policy and client columns, and whether each of the two was found.
 
-    Plain left equi-joins: Catalyst takes a broadcast where a side is small, and AQE splits a policy or
-    client that holds very many claims, because the claims are the streamed side.
+    Catalyst takes a broadcast where a side is small; else AQE splits a policy or client that holds very
+    many claims.
     """
     return with_client(with_policy(claims, policies), clients)
 
@@ -48,7 +49,7 @@ def with_subscription_date(claims: DataFrame, policies: DataFrame) -> DataFrame:
     if "date_souscription" in claims.columns:
         return claims
     dates = one_per_key(policies.select("policy_id", "date_souscription"), ["policy_id"])
-    return claims.join(dates, "policy_id", "left")
+    return left_join(claims, dates, "policy_id")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -64,10 +65,9 @@ def attach_label(
     Catalyst knows the file size of the dimension and broadcasts it below its threshold.
     """
     names = one_per_key(dim.select(F.trim(code).alias("_code"), F.col(label).alias("_label")), ["_code"])
-    text = F.trim(F.col(key).cast("string"))
-    return df.join(names, text == F.col("_code"), "left").withColumn(
-        out, F.coalesce(F.col("_label"), F.col(key).cast("string"))
-    ).drop("_code", "_label")
+    coded = df.withColumn("_code", F.trim(F.col(key).cast("string")))
+    named = F.coalesce(F.col("_label"), F.col(key).cast("string"))
+    return left_join(coded, names, "_code").withColumn(out, named).drop("_code", "_label")
 
 
 def attach_columns(df: DataFrame, dim: DataFrame | None, key: str, columns: tuple) -> DataFrame:

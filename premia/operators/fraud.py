@@ -1,9 +1,9 @@
 """Five fraud rules, the weighted score and the assessment table.
 
 Two rules look at the neighbours of a claim: earlier claims of the same client, and claims at the same
-address. Instead of joining claims with claims, both first reduce the claims to one row per key and day
-(combined map-side), look around in a range window over those days, and join the few days that matter
-back. A client or address with very many claims still has at most one row per day (and product) in its
+address. Instead of joining claims with claims, both first reduce the claims to one row per client and day
+(and product), combined map-side, look around in a range window over those days, and join the few days
+that matter back. A client or address with very many claims still has at most one row per day (and product) in its
 window, so no window group grows with the number of claims.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premia.entities import FLAGS
-from premia.functions import bounded, clamp
+from premia.functions import bounded, clamp, left_join
 from premia.operators.dedup import one_per_key
 from premia.operators.enrich import with_subscription_date
 from premia.settings import FraudSettings
@@ -45,14 +45,14 @@ def flag_high_amount(claims: DataFrame, n_stddev: float = 3.0, group: str = "pro
     """
     stats = bounded(
         claims.filter(F.col(group).isNotNull())
-        .groupBy(F.col(group).alias("_group"))
+        .groupBy(group)
         .agg(F.avg("montant_declare").alias("_mean"), F.coalesce(F.stddev_samp("montant_declare"), F.lit(0.0)).alias("_std"))
     )
     limit = F.col("_mean") + n_stddev * F.col("_std")
     return (
-        claims.join(stats, F.col(group) == F.col("_group"), "left")
+        left_join(claims, stats, group)
         .withColumn("flag_high_amount", _flag(F.col("montant_declare") > limit))
-        .drop("_group", "_mean", "_std")
+        .drop("_mean", "_std")
     )
 
 
@@ -85,12 +85,7 @@ def address_neighbours(located: DataFrame, days: int = 30) -> DataFrame:
     list is bounded by the days of the frame times the number of products, not by the claims.
     """
     keys = ["adresse", "date_sinistre", "produit"]
-    known = F.col("client_id").isNotNull()
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    cells = located.filter(known).groupBy(*keys).agg(
-        F.min("client_id").alias("low"), F.max("client_id").alias("high")
-    )
+    cells = located.groupBy(*keys).agg(F.min("client_id").alias("low"), F.max("client_id").alias("high"))
     around = Window.partitionBy("adresse").orderBy(F.unix_date("date_sinistre")).rangeBetween(-days, days)
     near = F.collect_list(F.struct("produit", "low", "high")).over(around)
     others = F.filter("_near", lambda cell: cell["produit"] != F.col("produit"))
@@ -107,15 +102,22 @@ def address_neighbours(located: DataFrame, days: int = 30) -> DataFrame:
 
 
 def flag_cluster(claims: DataFrame, clients: DataFrame, days: int = 30) -> DataFrame:
-    """Another client claimed for another product at the same address at most ``days`` apart."""
-    addresses = one_per_key(clients.select("client_id", "adresse"), ["client_id"])
-    located = claims.join(addresses, "client_id", "left")
+    """Another client claimed for another product at the same address at most ``days`` apart.
+
+    The claims are reduced to one row per client, day and product before they meet the addresses, and
+    take the flag back by these three columns.
+    """
+    visit = ["client_id", "date_sinistre", "produit"]
+    known = F.col("client_id").isNotNull() & F.col("date_sinistre").isNotNull() & F.col("produit").isNotNull()
+    addresses = one_per_key(clients.select("client_id", "adresse"), ["client_id"]).filter(F.col("adresse").isNotNull())
+    located = claims.filter(known).select(*visit).distinct().join(addresses, "client_id")
     other = (F.col("_other_low") != F.col("client_id")) | (F.col("_other_high") != F.col("client_id"))
-    return (
-        located.join(address_neighbours(located, days), ["adresse", "date_sinistre", "produit"], "left")
-        .withColumn("flag_address_cluster", _flag(other))
-        .drop("adresse", "_other_low", "_other_high")
+    clustered = (
+        located.join(address_neighbours(located, days), ["adresse", "date_sinistre", "produit"])
+        .filter(other)
+        .select(*visit, F.lit(True).alias("_clustered"))
     )
+    return claims.join(clustered, visit, "left").withColumn("flag_address_cluster", _flag(F.col("_clustered"))).drop("_clustered")
 
 
 def flag_late(claims: DataFrame, days: int = 180) -> DataFrame:

@@ -14,7 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Plans here are built from many small expressions; recording a call site for each doubles that time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

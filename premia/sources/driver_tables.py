@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pick(values: tuple, index: Column) -> Column:
     """Element of a code list by a zero-based index."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(F.split(F.lit(",".join(values)), ","), (index + 1).cast("int"))
 
 
 def _customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
