@@ -410,8 +410,8 @@ SELECT type_sinistre, aging_bucket, statut, annee_sinistre AS annee, produit, {S
   quantile_disc(delai_traitement_jours, 0.5) AS delai_median_jours, quantile_disc(delai_traitement_jours, 0.9) AS delai_p90_jours,
   MIN(bucket_order) AS bucket_order FROM aged GROUP BY type_sinistre, aging_bucket, statut, annee_sinistre, produit"""
 Q["a12_exact_quantiles"] = f"""
-SELECT type_sinistre, aging_bucket, {SUMMARY}, quantile_cont(CAST(delai_traitement_jours AS DOUBLE), 0.5) AS delai_median_jours,
-  quantile_cont(CAST(delai_traitement_jours AS DOUBLE), 0.9) AS delai_p90_jours, MIN(bucket_order) AS bucket_order
+SELECT type_sinistre, aging_bucket, {SUMMARY}, round(quantile_cont(CAST(delai_traitement_jours AS DOUBLE), 0.5), 6) AS delai_median_jours,
+  round(quantile_cont(CAST(delai_traitement_jours AS DOUBLE), 0.9), 6) AS delai_p90_jours, MIN(bucket_order) AS bucket_order
 FROM aged GROUP BY type_sinistre, aging_bucket"""
 
 # Data quality
@@ -640,8 +640,8 @@ Q["b21_critical_by_region"] = """
 SELECT coalesce(r.nom, region_code) AS region_nom, COUNT(*) AS total, COUNT(*) FILTER (churn_segment = 'critique') AS hits,
   COUNT(*) FILTER (churn_segment = 'critique') / COUNT(*) * CAST(100 AS DOUBLE) AS pct_critical FROM churn LEFT JOIN regions r ON region_code = r.code GROUP BY 1"""
 Q["b22_five_numbers"] = """
-SELECT churn_segment, MIN(churn_score) AS minimum, quantile_cont(churn_score, 0.25) AS q1, quantile_cont(churn_score, 0.5) AS median,
-  quantile_cont(churn_score, 0.75) AS q3, MAX(churn_score) AS maximum FROM churn GROUP BY churn_segment"""
+SELECT churn_segment, MIN(churn_score) AS minimum, round(quantile_cont(churn_score, 0.25), 6) AS q1, round(quantile_cont(churn_score, 0.5), 6) AS median,
+  round(quantile_cont(churn_score, 0.75), 6) AS q3, MAX(churn_score) AS maximum FROM churn GROUP BY churn_segment"""
 Q["b_preview_exposure"] = f"SELECT * FROM ({EXPOSURE}) ORDER BY exposition_max DESC LIMIT 20"
 
 # Privacy and upkeep

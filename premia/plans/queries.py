@@ -428,7 +428,8 @@ def g4_aging_summary(spark, sf):
 @query
 def a12_exact_quantiles(spark, sf):
     detail = aging.aging_detail(d.timed(d.claim_lines(spark, sf)), d.as_of())
-    return aging.aging_summary(detail, ("type_sinistre", "aging_bucket"), exact=True)
+    out = aging.aging_summary(detail, ("type_sinistre", "aging_bucket"), exact=True)
+    return out.withColumns({c: F.round(c, 6) for c in ("delai_median_jours", "delai_p90_jours")})
 
 
 # Data quality --------------------------------------------------------------------------------------
@@ -708,7 +709,7 @@ def b21_critical_by_region(spark, sf):
 
 @query
 def b22_five_numbers(spark, sf):
-    return reports.five_numbers(_churn(spark, sf))
+    return reports.five_numbers(_churn(spark, sf)).withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
 
 
 @query
