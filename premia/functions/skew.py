@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def left_join(facts: DataFrame, dim: DataFrame, key: str, spread: str | None = None) -> DataFrame:
     """``facts`` with the columns of ``dim``, which has one row per key.
 
-    The join is on the key and its hash. A row without a key matches nothing and takes the hash of the whole
-    row instead, which spreads such rows over all tasks; a repeated task computes the same hash. The
-    second column also gives a side that was aggregated by the key a shuffle of its own: AQE splits a hot
-    key only between two plain shuffles.
+    The join is on the key and its hash. A row without a key matches nothing and takes the hash of its
+    ``spread`` column instead (any column with many values), which spreads such rows over all tasks; a
+    repeated task computes the same hash. The second column also gives a side that was aggregated by the key
+    a shuffle of its own: AQE splits a hot key only between two plain shuffles.
     """
     own = F.xxhash64(key)
-    spread = F.when(F.col(key).isNull(), F.xxhash64(*facts.columns)).otherwise(own)
-    left, right = facts.withColumn("_hash", spread), dim.withColumn("_hash", own)
+    left_hash = own if spread is None else F.when(F.col(key).isNull(), F.xxhash64(spread)).otherwise(own)
+    left, right = facts.withColumn("_hash", left_hash), dim.withColumn("_hash", own)
     return left.join(right, [key, "_hash"], "left").drop("_hash")

@@ -24,7 +24,7 @@ def with_policy(claims: DataFrame, policies: DataFrame, columns: tuple = POLICY_
     """Every claim with the columns of its policy, and whether the policy was found."""
     wanted = [F.col(c) for c in columns] + [F.col("statut").alias("statut_police")]
     policy = one_per_key(policies.select("policy_id", *wanted), ["policy_id"])
-    return left_join(claims, policy, "policy_id").withColumn("has_valid_policy", F.col("produit").isNotNull())
+    return left_join(claims, policy, "policy_id", spread="claim_id").withColumn("has_valid_policy", F.col("produit").isNotNull())
 
 
 def with_client(claims: DataFrame, clients: DataFrame, columns: tuple = CLIENT_COLUMNS) -> DataFrame:
@@ -32,7 +32,7 @@ def with_client(claims: DataFrame, clients: DataFrame, columns: tuple = CLIENT_C
     wanted = [F.col(c) for c in columns]
     wanted += [F.col("date_creation").alias("date_creation_client"), F.col("actif").alias("client_actif")]
     client = one_per_key(clients.select("client_id", *wanted), ["client_id"])
-    return left_join(claims, client, "client_id").withColumn("has_valid_client", F.col("client_type").isNotNull())
+    return left_join(claims, client, "client_id", spread="claim_id").withColumn("has_valid_client", F.col("client_type").isNotNull())
 
 
 def enrich_claims(claims: DataFrame, policies: DataFrame, clients: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def with_subscription_date(claims: DataFrame, policies: DataFrame) -> DataFrame:
     if "date_souscription" in claims.columns:
         return claims
     dates = one_per_key(policies.select("policy_id", "date_souscription"), ["policy_id"])
-    return left_join(claims, dates, "policy_id")
+    return left_join(claims, dates, "policy_id", spread="claim_id")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

@@ -50,7 +50,7 @@ def flag_high_amount(claims: DataFrame, n_stddev: float = 3.0, group: str = "pro
     )
     limit = F.col("_mean") + n_stddev * F.col("_std")
     return (
-        left_join(claims, stats, group)
+        left_join(claims, stats, group, spread="claim_id")
         .withColumn("flag_high_amount", _flag(F.col("montant_declare") > limit))
         .drop("_mean", "_std")
     )

@@ -55,12 +55,12 @@ def policy_dim(spark):
 
 def test_hot_key_is_split_and_nulls_are_spread(spark, small_thresholds):
     claims = skewed_claims(spark)
-    joined = left_join(claims, policy_dim(spark), "policy_id")
+    joined = left_join(claims, policy_dim(spark), "policy_id", spread="claim_id")
     rows, plan = final_plan(joined)
     assert "skew=true" in plan
     assert len(rows) == 60_000 and len({r["claim_id"] for r in rows}) == 60_000
     assert all((r["v"] is None) == (r["policy_id"] is None) for r in rows)
-    spread = claims.withColumn("_hash", F.when(F.col("policy_id").isNull(), F.xxhash64(*claims.columns)))
+    spread = claims.withColumn("_hash", F.when(F.col("policy_id").isNull(), F.xxhash64("claim_id")))
     per_task = spread.filter("policy_id is null").groupBy(F.pmod(F.hash("policy_id", "_hash"), F.lit(16))).count()
     assert per_task.count() == 16 and per_task.agg(F.max("count")).first()[0] < 2000
 
@@ -93,6 +93,13 @@ def test_frequent_rule_takes_the_flag_back_over_split_shuffles(spark, small_thre
     assert len(rows) == 60_000 and sum(r["flag_frequent_claimant"] for r in rows) == busy
 
 
+def test_unused_columns_are_not_read(spark, tmp_path):
+    skewed_claims(spark, 100).write.parquet(f"{tmp_path}/c")
+    joined = left_join(spark.read.parquet(f"{tmp_path}/c"), policy_dim(spark), "policy_id", spread="claim_id")
+    plan = joined.groupBy("v").count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<claim_id:bigint,policy_id:bigint>" in plan
+
+
 def test_bounded_keeps_large_frames_distributed(spark, small_thresholds):
     small, large, facts = spark.range(10), spark.range(11), spark.range(1000)
     plans = [facts.join(bounded(d, 10), "id", "left")._jdf.queryExecution().executedPlan().toString() for d in (small, large)]
