@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 from premia.llm.common import chosen, documents, shared_folder, text_of, with_row_id, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Else every partition of the state reserves megabytes of disk for its first manifest and log.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -37,8 +41,9 @@ def ingest(slim: DataFrame, state: str, name: str = "digests") -> DataFrame:
     spark = slim.sparkSession
     folder = f"{state}/{name}"
     slim.write.mode("append").parquet(folder)
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         (
             spark.readStream.schema(slim.schema)
@@ -53,10 +58,11 @@ def ingest(slim: DataFrame, state: str, name: str = "digests") -> DataFrame:
             .awaitTermination()
         )
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return state_table(spark, state)
 
 
