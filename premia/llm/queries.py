@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from premia.llm import bpe, exact, mixing, quality, secrets, simhash
+from premia.llm import bpe, exact, langid, mixing, quality, secrets, simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_language": langid.op2_language,
     "op3_exact": exact.op3_exact,
     "op4_bpe": bpe.op4_bpe,
     "op7_simhash": simhash.op7_simhash,
