@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from premia.llm import bpe, exact, langid, mixing, quality, secrets, simhash, token_files, toxicity
+from premia.llm import bpe, exact, langid, mixing, quality, repeats, secrets, simhash, token_files, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_language": langid.op2_language,
     "op3_exact": exact.op3_exact,
     "op4_bpe": bpe.op4_bpe,
+    "op5_repeats": repeats.op5_repeats,
     "op6_tokens": token_files.op6_tokens,
     "op7_simhash": simhash.op7_simhash,
     "op8_secrets": secrets.op8_secrets,
