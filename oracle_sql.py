@@ -608,7 +608,9 @@ SELECT coalesce(r.nom, region_code) AS region_nom, round(AVG(loss_ratio), 6) AS
 
 def tab(column, values, expr):
     cells = ", ".join(f'{expr.format(cond=f"{column} = {chr(39)}{v}{chr(39)}")} AS "{v}"' for v in values)
-    return f"SELECT region_nom, {cells} FROM named GROUP BY region_nom"
+    known = ", ".join(f"'{v}'" for v in values)
+    others = expr.format(cond=f"{column} NOT IN ({known})")
+    return f"SELECT region_nom, {cells}, {others} AS autres FROM named WHERE {column} IS NOT NULL GROUP BY region_nom"
 
 
 def fsum(x):

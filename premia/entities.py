@@ -7,16 +7,12 @@ from pyspark.sql import types as T
 S, D, B = T.StringType(), T.DoubleType(), T.BooleanType()
 
 
-def _struct(names: str, dtype: T.DataType = S) -> list[T.StructField]:
-    return [T.StructField(n, dtype) for n in names.split()]
+def _struct(names: tuple, dtype: T.DataType = S) -> list[T.StructField]:
+    return [T.StructField(n, dtype) for n in names]
 
 
 CLAIMS_RAW = T.StructType(
-    _struct(
-        "claim_id policy_id client_id type_sinistre date_sinistre date_declaration date_cloture "
-        "montant_declare montant_provision montant_indemnise statut region_code description "
-        "is_fraud_injected fraud_rule_injected"
-    )
+    _struct(("claim_id", "policy_id", "client_id", "type_sinistre", "date_sinistre", "date_declaration", "date_cloture", "montant_declare", "montant_provision", "montant_indemnise", "statut", "region_code", "description", "is_fraud_injected", "fraud_rule_injected",))
 )
 
 COVERAGE = T.StructType(
@@ -24,21 +20,18 @@ COVERAGE = T.StructType(
 )
 
 POLICIES_RAW = T.StructType(
-    _struct("policy_id client_id produit date_souscription date_echeance")
-    + _struct("prime_annuelle prime_mensuelle", D)
-    + _struct("canal_vente statut region_code")
-    + _struct("franchise plafond_garantie", D)
+    _struct(("policy_id", "client_id", "produit", "date_souscription", "date_echeance",))
+    + _struct(("prime_annuelle", "prime_mensuelle",), D)
+    + _struct(("canal_vente", "statut", "region_code",))
+    + _struct(("franchise", "plafond_garantie",), D)
     + [T.StructField("garanties", T.ArrayType(COVERAGE))]
 )
 
 PAYMENTS_RAW = T.StructType(
-    _struct(
-        "payment_id claim_id policy_id client_id date_paiement montant devise statut "
-        "mode_paiement reference_banque motif_impaye"
-    )
+    _struct(("payment_id", "claim_id", "policy_id", "client_id", "date_paiement", "montant", "devise", "statut", "mode_paiement", "reference_banque", "motif_impaye",))
 )
 
-REGIONS_RAW = T.StructType(_struct("code nom population densite"))
+REGIONS_RAW = T.StructType(_struct(("code", "nom", "population", "densite",)))
 
 REQUIRED = {
     "claims": (

@@ -8,6 +8,5 @@ from premia.functions.columns import (  # noqa: F401
     quarter_label,
     ratio_pct,
 )
-from premia.functions.bounded import bounded  # noqa: F401
 from premia.functions.quantile import exact_quantile  # noqa: F401
 from premia.functions.skew import left_join  # noqa: F401

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions import left_join
-from premia.operators.dedup import one_per_key
+from premia.operators.dedup import latest_per_key, one_per_key
 
 POLICY_COLUMNS = (
     "produit", "prime_annuelle", "prime_mensuelle", "date_souscription",
@@ -15,15 +15,24 @@ POLICY_COLUMNS = (
 CLIENT_COLUMNS = ("client_type", "nom", "canal_acquisition", "segment")
 
 
-def one_policy_per_id(policies: DataFrame) -> DataFrame:
-    """One row per policy from a table with one row per coverage."""
-    return one_per_key(policies.select(*[c for c in policies.columns if not c.startswith("garantie_")]), ["policy_id"])
+#: What decides which row of a policy stands for it, where the table has it: the latest load, then the greatest coverage.
+POLICY_ORDER = ("ingestion_timestamp", "garantie_code")
+
+
+def one_policy_per_id(policies: DataFrame, columns: tuple | None = None) -> DataFrame:
+    """One row per policy from a table with one row per coverage: that of the latest load. Give the columns
+    that are wanted, and no other is read."""
+    order = [c for c in POLICY_ORDER if c in policies.columns]
+    wanted = columns or [c for c in policies.columns if not c.startswith("garantie_") and c != "policy_id"]
+    ranked = policies.select("policy_id", *[F.col(c).alias(f"_by_{c}") for c in order], *wanted)
+    best = latest_per_key(ranked, ["policy_id"], [f"_by_{c}" for c in order])
+    return best.select([c for c in policies.columns if c == "policy_id" or c in wanted])
 
 
 def with_policy(claims: DataFrame, policies: DataFrame, columns: tuple = POLICY_COLUMNS) -> DataFrame:
     """Every claim with the columns of its policy, and whether the policy was found."""
-    wanted = [F.col(c) for c in columns] + [F.col("statut").alias("statut_police")]
-    policy = one_per_key(policies.select("policy_id", *wanted), ["policy_id"])
+    policy = one_policy_per_id(policies, (*columns, "statut")).withColumnRenamed("statut", "statut_police")
+    policy = policy.select("policy_id", *columns, "statut_police")
     return left_join(claims, policy, "policy_id", spread="claim_id").withColumn("has_valid_policy", F.col("produit").isNotNull())
 
 
@@ -48,13 +57,16 @@ def with_subscription_date(claims: DataFrame, policies: DataFrame) -> DataFrame:
     """Fetch ``date_souscription`` unless the claims already carry it."""
     if "date_souscription" in claims.columns:
         return claims
-    dates = one_per_key(policies.select("policy_id", "date_souscription"), ["policy_id"])
+    dates = one_policy_per_id(policies, ("date_souscription",))
     return left_join(claims, dates, "policy_id", spread="claim_id")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key has no parent."""
-    return child.join(parent.select(key), key, "left_anti")
+    """Child rows whose key has no parent. Rows without a key need no join; the hash gives both sides a shuffle of
+    their own, so that AQE can split a key with very many children."""
+    keys = parent.select(key).withColumn("_hash", F.xxhash64(key))
+    keyed = child.filter(F.col(key).isNotNull()).withColumn("_hash", F.xxhash64(key))
+    return keyed.join(keys, [key, "_hash"], "left_anti").select(child.columns).unionByName(child.filter(F.col(key).isNull()))
 
 
 def attach_label(
@@ -67,7 +79,7 @@ def attach_label(
     names = one_per_key(dim.select(F.trim(code).alias("_code"), F.col(label).alias("_label")), ["_code"])
     coded = df.withColumn("_code", F.trim(F.col(key).cast("string")))
     named = F.coalesce(F.col("_label"), F.col(key).cast("string"))
-    return left_join(coded, names, "_code").withColumn(out, named).drop("_code", "_label")
+    return left_join(coded, names, "_code", spread=coded.columns[0]).withColumn(out, named).drop("_code", "_label")
 
 
 def attach_columns(df: DataFrame, dim: DataFrame | None, key: str, columns: tuple) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premia.entities import FLAGS
-from premia.functions import bounded, clamp, left_join
+from premia.functions import clamp, left_join
 from premia.operators.dedup import one_per_key
 from premia.operators.enrich import with_subscription_date
 from premia.settings import FraudSettings
@@ -41,13 +41,18 @@ def flag_early(claims: DataFrame, policies: DataFrame | None = None, hours: floa
 def flag_high_amount(claims: DataFrame, n_stddev: float = 3.0, group: str = "produit") -> DataFrame:
     """Declared amount strictly above mean plus ``n_stddev`` sample deviations of its product.
 
-    The statistics hold one row per product; their size is checked before they are broadcast.
+    The statistics come from exact sums of cents and of their squares, so they do not depend on the order of tasks. They
+    stay part of the plan: AQE broadcasts them by their measured size.
     """
-    stats = bounded(
+    cents = F.round(F.col("montant_declare") * 100).cast("decimal(19,0)")
+    sums = (
         claims.filter(F.col(group).isNotNull())
         .groupBy(group)
-        .agg(F.avg("montant_declare").alias("_mean"), F.coalesce(F.stddev_samp("montant_declare"), F.lit(0.0)).alias("_std"))
+        .agg(F.count(cents).alias("_n"), F.sum(cents).cast("double").alias("_s"), F.sum((cents * cents).cast("decimal(38,0)")).alias("_q"))
     )
+    spread = F.col("_q").cast("double") - F.col("_s") * F.col("_s") / F.col("_n")
+    deviation = F.when(F.col("_n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (F.col("_n") - 1))).otherwise(F.lit(0.0))
+    stats = sums.filter("_n > 0").select(group, (F.col("_s") / F.col("_n") / 100).alias("_mean"), (deviation / 100).alias("_std"))
     limit = F.col("_mean") + n_stddev * F.col("_std")
     return (
         left_join(claims, stats, group, spread="claim_id")

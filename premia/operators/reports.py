@@ -182,13 +182,21 @@ def trigger_totals(df: DataFrame, flags: Sequence[str] = tuple(FLAGS)) -> DataFr
     )
 
 
+OTHER = "autres"
+
+
 def crosstab(
     df: DataFrame, rows: str, columns: str, values: Sequence[str] | None, measure: Column, fill=None
 ) -> DataFrame:
     """Measure per row and column value. Give the column values where they are known: without them
-    Spark first runs a job to list them."""
+    Spark first runs a job to list them. All other values are measured together in the column ``autres``."""
     known = df.dropna(subset=[rows, columns])
-    out = known.groupBy(rows).pivot(columns, list(values) if values else None).agg(measure)
+    if values:
+        values = [*values, OTHER]
+        label = F.when(F.col(columns).isin(values[:-1]), F.col(columns)).otherwise(F.lit(OTHER))
+        out = known.withColumn("_label", label).groupBy(rows).pivot("_label", values).agg(measure)
+    else:
+        out = known.groupBy(rows).pivot(columns).agg(measure)
     return out if fill is None else out.fillna(fill)
 
 

@@ -352,24 +352,25 @@ def r7_suspects_by_product(spark, sf):
 
 @query
 def c1_seniority(spark, sf):
-    return churn.seniority_score(d.clients(spark, sf), d.as_of()).select("client_id", "anciennete_annees", "score_seniority_inverse")
+    return churn.measured(d.clients(spark, sf), d.as_of()).select("client_id", "anciennete_annees", "score_seniority_inverse")
 
 
 @query
 def c2_unpaid(spark, sf):
-    return churn.with_unpaid(d.clients(spark, sf), d.payments(spark, sf)).select("client_id", "score_unpaid", "nb_impayes")
+    unpaid = churn.event_share(d.payments(spark, sf), "impaye")
+    return churn.measured(d.clients(spark, sf), d.as_of(), unpaid=unpaid).select("client_id", "score_unpaid", "nb_impayes")
 
 
 @query
 def c3_refused(spark, sf):
-    return churn.with_refused(d.clients(spark, sf), d.client_claims(spark, sf)).select("client_id", "score_refused", "nb_refuses")
+    refused = churn.event_share(d.client_claims(spark, sf), "refuse")
+    return churn.measured(d.clients(spark, sf), d.as_of(), refused=refused).select("client_id", "score_refused", "nb_refuses")
 
 
 @query
 def c4_mono_contract(spark, sf):
-    return churn.with_mono_contract(d.clients(spark, sf), d.policies(spark, sf, region=False)).select(
-        "client_id", "nb_contrats", "score_mono_contract"
-    )
+    contracts = churn.active_contracts(d.policies(spark, sf, region=False))
+    return churn.measured(d.clients(spark, sf), d.as_of(), contracts=contracts).select("client_id", "nb_contrats", "score_mono_contract")
 
 
 @query
@@ -754,8 +755,10 @@ def x5_retain(spark, sf):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster shares; a temporary one only where none is set, as in local tests."""
+    """The folder the cluster shares; a temporary one only where none is set and all tasks run on this machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{shared}/premia-{datetime.now():%Y%m%d%H%M%S%f}" if shared else tempfile.mkdtemp(prefix="premia-")
 
 

@@ -53,7 +53,7 @@ class LakeSettings:
     """Where the layers live and how the tables are partitioned."""
 
     root: str = "lake"
-    bronze_partitions: tuple = ("annee_ingestion", "mois_ingestion", "batch_id")
+    bronze_partitions: tuple = ("batch_id", "annee_ingestion", "mois_ingestion")
     silver_partitions: tuple = ("annee_sinistre", "mois_sinistre")
     gold_partitions: tuple = ("annee", "trimestre", "produit")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Sequence
+from urllib.parse import quote
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation
@@ -61,21 +62,19 @@ def write_table(
 
 
 def append_batch(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = BRONZE_PARTITIONS
+    df: DataFrame, root: str, layer: str, name: str, batch_id: str, partition_by: Sequence[str] = BRONZE_PARTITIONS
 ) -> None:
-    """Add a batch. Its partitions are replaced if they exist, so a repeated batch adds nothing."""
-    (
-        df.write.format("parquet")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .save(table_path(root, layer, name))
-    )
+    """Add a batch as a whole. The first partition column names it: all that the table holds of it is replaced, also by
+    nothing and whatever the month of the earlier run."""
+    first, *others = partition_by
+    place = f"{table_path(root, layer, name)}/{first}={quote(batch_id, safe=' ,-_.')}"
+    writer = df.drop(first).write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*others) if others else writer).save(place)
 
 
-def write_rejects(rejected: DataFrame, root: str, entity: str) -> None:
+def write_rejects(rejected: DataFrame, root: str, entity: str, batch_id: str) -> None:
     """Set rejected rows aside, by batch."""
-    append_batch(rejected, root, "dead_letter_queue", entity, ["_batch_id"])
+    append_batch(rejected, root, "dead_letter_queue", entity, batch_id, ["_batch_id"])
 
 
 def export_columns(df: DataFrame | None, columns: Sequence[str], path: str) -> bool:

@@ -123,3 +123,28 @@ def test_aging_summary(frame):
     assert (got["0_7j"]["delai_median_jours"], got["0_7j"]["delai_p90_jours"], got["0_7j"]["delai_moyen_jours"], got["0_7j"]["bucket_order"]) == (2, 4, 2.5, 1)
     assert got["90j_plus"]["bucket_order"] == 4
     assert {r["delai_median_jours"] for r in aging.aging_summary(df, ("aging_bucket",), exact=True).collect()} == {2.5, 100.0}
+
+
+def test_latest_load_of_a_policy_stands_for_it(frame):
+    from premia.operators.enrich import one_policy_per_id, with_policy
+
+    schema = "policy_id int, statut string, produit string, prime_annuelle double, garantie_code string, ingestion_timestamp timestamp"
+    from datetime import datetime
+
+    df = frame([(1, "zz", "auto", 100.0, "a", datetime(2024, 1, 1)), (1, "actif", "vie", 90.0, "b", datetime(2024, 2, 1)),
+                (1, "actif", "mrh", 80.0, "a", datetime(2024, 2, 1))], schema)
+    assert [(r.statut, r.produit, r.prime_annuelle) for r in one_policy_per_id(df).collect()] == [("actif", "vie", 90.0)]
+    claim = with_policy(frame([(7, 1)], "claim_id int, policy_id int"), df, ("produit",)).first()
+    assert (claim.produit, claim.statut_police) == ("vie", "actif")
+
+
+def test_exact_quantile_of_odd_values(frame):
+    import math
+
+    from premia.functions.quantile import exact_quantile
+
+    inf, nan = math.inf, math.nan
+    for values, p, want in (([*range(20), nan], 0.5, 9.5), ([1, inf], 0.5, inf), ([-inf, 1, 2, 3], 0.0, -inf), ([-inf, 1, 2, inf], 0.34, 1.02),
+                            ([5], 0.99, 5.0), ([inf], 0.5, inf), ([nan], 0.5, None), ([], 0.5, None)):
+        got = exact_quantile(frame([(float(v),) for v in values], "x double"), "x", p)
+        assert got == want or abs(got - want) < 1e-9

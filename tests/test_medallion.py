@@ -122,13 +122,23 @@ def test_absent_inputs(spark, tmp_path):
 def test_bronze_schema_may_grow(spark, tmp_path):
     for batch, df in (("b1", spark.range(2)), ("b2", spark.range(3).withColumn("extra", F.lit("x")))):
         stamped = sinks.with_ingestion_metadata(df, "s", batch, "dir/f.csv", NOW)
-        sinks.append_batch(stamped, str(tmp_path), "bronze", "t")
+        sinks.append_batch(stamped, str(tmp_path), "bronze", "t", batch)
     df = readers.read_table(spark, str(tmp_path), "bronze", "t", merge_schema=True)
     assert df.count() == 5 and df.filter("extra is null").count() == 2
     first = df.first()
     assert (first["source_file"], first["mois_ingestion"], first["annee_ingestion"]) == ("f.csv", "06", "2024")
 
 
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    for month, n in ((1, 5), (2, 5), (3, 2), (4, 0)):
+        stamped = sinks.with_ingestion_metadata(spark.range(n), "s", "b1", "f.csv", datetime(2024, month, 28))
+        sinks.append_batch(stamped, str(tmp_path), "bronze", "t", "b1")
+        other = sinks.with_ingestion_metadata(spark.range(3), "s", "b2", "f.csv", datetime(2024, month, 28))
+        sinks.append_batch(other, str(tmp_path), "bronze", "t", "b2")
+        df = readers.read_table(spark, str(tmp_path), "bronze", "t")
+        assert {r["batch_id"]: r["count"] for r in df.groupBy("batch_id").count().collect()} == ({"b1": n, "b2": 3} if n else {"b2": 3})
+
+
 def test_suites_on_the_lake(spark, run):
     lake, _ = run
     t = {n: lake.read(spark, layer, n) for layer, n in (("silver", "policies"), ("silver", "clients"), ("gold", "portfolio_kpis"),

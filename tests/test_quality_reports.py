@@ -86,7 +86,9 @@ def test_paid_rate_drops_zero_denominator(frame):
 
 def test_crosstab(frame):
     df = frame([("r1", "a", 1.0), ("r1", "b", 2.0), ("r2", "a", 3.0)], "r string, c string, v double")
-    assert rows(reports.crosstab(df, "r", "c", ["a", "b"], F.sum("v"), fill=0.0)) == [("r1", 1.0, 2.0), ("r2", 3.0, 0.0)]
+    assert rows(reports.crosstab(df, "r", "c", ["a", "b"], F.sum("v"), fill=0.0)) == [("r1", 1.0, 2.0, 0.0), ("r2", 3.0, 0.0, 0.0)]
+    listed = rows(reports.crosstab(df.union(frame([("r1", "inconnu", 5.0), ("r1", None, 9.0)], df.schema)), "r", "c", ["a"], F.sum("v"), fill=0.0))
+    assert listed == [("r1", 1.0, 7.0), ("r2", 3.0, 0.0)]  # totals reconcile
     assert rows(reports.crosstab(df, "r", "c", None, F.sum("v"))) == [("r1", 1.0, 2.0), ("r2", 3.0, None)]
 
 
