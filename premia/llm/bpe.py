@@ -26,11 +26,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.llm.common import documents
+from premia.llm.common import Recent, documents
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Entries that the tables of moves and of pieces hold before they are started anew. Parameters of the cost only.
-MOVES, PIECES = 2_000_000, 300_000
+#: Entries of the tables of moves, which then is started anew, and of pieces, of which the used ones are kept. Parameters of the cost only.
+MOVES, PIECES = 450_000, 220_000
 
 # The UTF-8 machine: 0 between characters; 1, 2, 3: so many continuation bytes to come; 4 to 7: the same after a first
 # byte that narrows the next one; 8: no UTF-8.
@@ -56,13 +56,22 @@ class Transducer:
     def __init__(self, ranks: dict):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.root: dict = {}
+        # The trie of the vocabulary: for every node its nodes by next byte, and the token that ends there.
+        self.nodes: list = [{}]
+        self.ends: list = [None]
+        self.halves: dict = {}
         for token, i in ranks.items():
-            if self.merged(token) == [i]:  # a token that the merges never make is on no path
-                node = self.root
+            parts, halves = self.merged(token)
+            if parts == [i]:  # a token that the merges never make is on no path
+                self.halves[i] = halves
+                node = 0
                 for b in token:
-                    node = node.setdefault(b, {})
-                node[-1] = i
+                    if b not in self.nodes[node]:
+                        self.nodes[node][b] = len(self.nodes)
+                        self.nodes.append({})
+                        self.ends.append(None)
+                    node = self.nodes[node][b]
+                self.ends[node] = i
         self.pairs: dict = {}
         self.restart()
 
@@ -71,59 +80,87 @@ class Transducer:
         self.numbers: dict = {}
         self.states: list = []
         # A place: (trie node, tokens since what was emitted). Before anything is read there is no last token.
-        self.start = self.number((None, ((self.root, ()),)))
+        self.start = self.number((None, ((0, ()),)))
 
-    def merged(self, data: bytes) -> list:
-        """Merges by rank, for single tokens and pairs of tokens."""
-        parts = [data[i : i + 1] for i in range(len(data))]
+    def merged(self, data: bytes) -> tuple:
+        """Merges by rank: the ids that remain, and the two that the last merge joined (None: no merge)."""
+        ranks, parts, last = self.ranks, [data[i : i + 1] for i in range(len(data))], None
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            rank, at = min((ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if rank == 1 << 62:
                 break
+            last = (ranks[parts[at]], ranks[parts[at + 1]])
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return [ranks[x] for x in parts], last
 
-    def follows(self, a: int | None, b: int) -> bool:
-        if a is None:
-            return True
+    def follows(self, a: int, b: int) -> bool:
+        """Whether the merges leave the neighbours a, b alone. Goes back through the merges that made them, the latest first; before
+        each of them the two parts that met at the border must not have been the better merge. Of equal ranks the left one goes first."""
         key = a << 32 | b
-        if key not in self.pairs:
-            if len(self.pairs) > MOVES:
-                self.pairs.clear()
-            self.pairs[key] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
-        return self.pairs[key]
+        tokens, ranks, halves = self.tokens, self.ranks, self.halves
+        fine, before = True, 1 << 62
+        while True:
+            joined = ranks.get(tokens[a] + tokens[b])
+            if joined is not None and joined < before:
+                fine = False
+                break
+            left, right = halves[a], halves[b]
+            if left is not None and (right is None or a > b):
+                before, a = a, left[1]
+            elif right is not None:
+                before, b = b + 1, right[0]
+            else:
+                break
+        if len(self.pairs) >= MOVES:
+            self.pairs.clear()
+        self.pairs[key] = fine
+        return fine
 
     def number(self, state: tuple) -> int:
-        last, places = state
-        key = (last, tuple((id(node), path) for node, path in places))  # the trie's nodes live as long as the table
-        if key not in self.numbers:
-            self.numbers[key] = len(self.states)
+        known = self.numbers.get(state)
+        if known is None:
+            known = self.numbers[state] = len(self.states)
             self.states.append(state)
-        return self.numbers[key]
+        return known
 
     def move(self, state: int, byte: int) -> tuple:
         """Next state and emitted tokens."""
         last, places = self.states[state]
+        nodes, ends, pairs = self.nodes, self.ends, self.pairs
         going, ending = [], None
         for node, path in places:
-            nearer = node.get(byte)
+            nearer = nodes[node].get(byte)
             if nearer is None:
                 continue
-            token = nearer.get(-1)
-            if token is not None and ending is None and self.follows(path[-1] if path else last, token):
-                ending = (*path, token)
-            if len(nearer) > (token is not None):
+            if ending is None:
+                token = ends[nearer]
+                if token is not None:
+                    before = path[-1] if path else last
+                    fine = True if before is None else pairs.get(before << 32 | token)
+                    if fine is None:
+                        fine = self.follows(before, token)
+                    if fine:
+                        ending = (*path, token)
+            if nodes[nearer]:
                 going.append((nearer, path))
         if ending is None:
             raise ValueError("the ranks are no byte-level BPE vocabulary")
-        going.append((self.root, ending))
-        common = 0
-        shortest = min(len(path) for _, path in going)
-        while common < shortest and len({path[common] for _, path in going}) == 1:
-            common += 1
-        out = ending[:common]
-        going = tuple((node, path[common:]) for node, path in going)
-        return self.number((out[-1] if out else last, going)), out
+        if not going:
+            return self.number((ending[-1], ((0, ()),))), ending
+        common, shared = 0, going[0][1]
+        for _, path in going:
+            if not path or path[0] != ending[0]:
+                break
+        else:  # the first token at least is common to all
+            common = 1
+            while all(len(path) > common and path[common] == shared[common] for _, path in going) and shared[common] == ending[common]:
+                common += 1
+        going.append((0, ending))
+        if common:
+            last, going = ending[common - 1], [(node, path[common:]) for node, path in going]
+        if last is not None and all(path for _, path in going):
+            last = None  # it matters only to places right behind it
+        return self.number((last, tuple(going))), ending[:common]
 
     def encode(self, data: bytes) -> list:
         whole = self.ranks.get(data)
@@ -150,7 +187,7 @@ class Coder:
         self.pattern = regex.compile(pattern)
         self.tokens = self.transducer.tokens
         self.names = {i: str(i) for i in self.tokens}
-        self.pieces: dict = {}
+        self.pieces = Recent(PIECES)
         self.from_start = np.zeros(max(self.tokens, default=0) + 1, np.uint8)
         for i, token in self.tokens.items():
             self.from_start[i] = self.through(0, token)
@@ -161,17 +198,18 @@ class Coder:
             state = utf8_step(state, byte)
         return state
 
+    def piece(self, piece: str) -> tuple:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = tuple(self.transducer.encode(piece.encode("utf-8", "surrogatepass")))
+            if len(piece) < 100:
+                self.pieces.put(piece, ids)
+        return ids
+
     def encode(self, text: str | None) -> list:
-        pieces, out = self.pieces, []
+        out: list = []
         for piece in self.pattern.findall(text or ""):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = self.transducer.encode(piece.encode("utf-8", "surrogatepass"))
-                if len(piece) < 100:
-                    if len(pieces) >= PIECES:
-                        pieces.clear()
-                    pieces[piece] = ids
-            out += ids
+            out += self.pieces.new.get(piece) or self.piece(piece)
         return out
 
     def decode(self, ids, state: int = 0) -> tuple:

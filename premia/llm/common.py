@@ -88,3 +88,23 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f"{package.name}/{f.relative_to(package)}")
     sc.addPyFile(str(path))
     _SHIPPED.add(sc.applicationId)
+
+
+class Recent:
+    """A table of bounded size that keeps what is used: full, it becomes the older half, and what is found there moves up."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
