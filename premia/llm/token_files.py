@@ -13,6 +13,7 @@ table gives empty files and an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -24,46 +25,81 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from premia.llm.common import documents, shared_folder, written
+from premia.llm.common import Recent, documents, shared_folder, written
 from premia.llm.huffman import STRIDE, Codebook, code_lengths
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Ids of a block, about.
 BLOCK = 1 << 18
-#: Entries of a worker's cache before it is started anew.
-CACHE = 300_000
+#: Entries of either half of a worker's table of words.
+CACHE = 400_000
 BLOCKS = "shard int, block int, first long, n long, doc_ids binary, known binary, sizes binary, payload binary, checkpoints binary"
 
 
+#: How byte-level vocabularies write a byte as a character: printable bytes as themselves, the others from 256 on. A fixed rule.
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+WRITTEN = str.maketrans({chr(b): chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SELF)})
+#: Punctuation before a full stop or comma at the end of a word: there the two are one token's worth of text.
+DOUBLE = re.compile(r"(?<![^\W_])(?<![ \n\t\r])[.,][ \n]")
+
+
 class Tokens:
-    """The library's ids of whole texts. No token spans a space or a line end, so the parts between them are encoded once and kept."""
+    """The library's ids of whole texts. No token spans a space or a line end, nor the border between a letter and a mark of
+    punctuation behind it, so the parts between these are encoded once and kept. A word of plain letters goes straight to the library's
+    merges; plain are the letters for which, tried one by one, that gives what the library's whole way gives."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.type = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.end = np.array([END], self.type).tobytes()
-        self.parts: dict = {}
+        self.known = Recent(CACHE)
+        letters = [c for c in map(chr, range(592)) if c.isalpha()]
+        tried = [(c, w) for c in letters for w in (c, f"a{c}e", f"{c}{c}")]
+        wrong = {c for c, w in tried if self.word(w) != self.library.encode(w, add_special_tokens=False).ids}
+        self.plain = frozenset(letters) - wrong
+
+    def word(self, word: str) -> list:
+        """Ids by the merges alone, of a word that is one piece of text to the library."""
+        written_ = word.lower()
+        if not written_.isascii():
+            written_ = written_.encode().decode("latin-1").translate(WRITTEN)
+        return [x.id for x in self.model.tokenize(written_)]
+
+    @staticmethod
+    def parts(text: str) -> list:
+        if DOUBLE.search(text) is None:
+            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ").replace(",\n", " , ")
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text and the end id, as little-endian numbers."""
-        parts = (text or "").replace("\n", " ").split(" ")
-        known = self.parts
-        new = list({p for p in parts if p not in known})
-        if new:
-            if len(known) > CACHE:
-                known.clear()
-                new = list(set(parts))
-            for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-                known[p] = np.array(e.ids, self.type).tobytes()
-        out = b"".join([known[p] for p in parts]) + self.end
-        for p in new:
-            if len(p) > 100:
-                del known[p]
-        return out
+        parts = self.parts(text or "")
+        new = self.known.new
+        out = [new.get(p) for p in parts]
+        if None in out:
+            missing = {p for p, ids in zip(parts, out) if ids is None}
+            found = {p: self.known.get(p) for p in missing}
+            rest = []
+            for p, ids in found.items():
+                if ids is None:
+                    if self.plain.issuperset(p) and p:
+                        self.keep(found, p, self.word(p))
+                    else:
+                        rest.append(p)
+            for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
+                self.keep(found, p, e.ids)
+            out = [found[p] if ids is None else ids for p, ids in zip(parts, out)]
+        return b"".join(out) + self.end
+
+    def keep(self, found: dict, part: str, ids: list) -> None:
+        found[part] = np.array(ids, self.type).tobytes()
+        if len(part) < 100:
+            self.known.put(part, found[part])
 
 
 @lru_cache(2)
