@@ -32,8 +32,8 @@ from premia.llm.levenshtein import Automaton, Trie
 SAMPLE = 20_000
 #: Terms of the lexicon and ordinary neighbours, at most: the strongest ones.
 TERMS, NEIGHBOURS = 3_000, 50_000
-#: A term occurs in so many toxic texts, and is so many times likelier in toxic than in clean ones.
-SUPPORT, RATIO = 5, 20.0
+#: A term occurs in so many toxic texts and in such a share of them, and is so many times likelier in toxic than in clean ones.
+SUPPORT, SHARE, RATIO = 5, 0.005, 20.0
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}@$*]+|[\"'“”„«»‘’]")
 QUOTES = set("\"'“”„«»‘’")
 WINDOW = 8
@@ -162,7 +162,7 @@ def learn(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> tup
     words = written(word_counts(rows), "words")
     rate = (F.col("toxic") / max(1, n.get(1, 0))) / ((F.col("clean") + 0.5) / max(1, n.get(0, 0)))
     # Alone the words of one label say nothing.
-    strong = words.withColumn("rate", rate).filter((F.col("toxic") >= SUPPORT) & (F.col("rate") >= RATIO) & (F.length("word") > 2))
+    strong = words.withColumn("rate", rate).filter((F.col("toxic") >= max(SUPPORT, SHARE * n.get(1, 0))) & (F.col("rate") >= RATIO) & (F.length("word") > 2))
     top = strong.orderBy(F.desc("toxic"), "word").limit(TERMS).collect() if n.get(0) and n.get(1) else []
     terms = {r.word: math.log(r.rate) / 10 for r in top}
     common = words.filter((F.col("clean") >= 2) & (F.length("word") >= 5))
@@ -173,7 +173,10 @@ def learn(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> tup
             found = _lexicon(data).hits(batch["word"])
             yield batch[batch["word"].isin(found.keys())]
 
-    close = common.select("word", "clean").mapInPandas(near, "word string, clean long").orderBy(F.desc("clean"), "word").limit(NEIGHBOURS).collect()
+    # The counts are a small table; the search in the trie is what takes time, so it is dealt to all cores.
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = common.select("word", "clean").repartition(width, "word")
+    close = dealt.mapInPandas(near, "word string, clean long").orderBy(F.desc("clean"), "word").limit(NEIGHBOURS).collect()
     ordinary = {r.word for r in close} - set(terms)
     lexicon = pickle.dumps((terms, ordinary))
 
