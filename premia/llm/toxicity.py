@@ -1,8 +1,8 @@
 """Toxicity: a learned lexicon met with spelling errors, hits weighed by their context.
 
 Training draws a bounded sample of labelled documents by a hash of doc_id, counts in how many toxic and clean ones each
-word occurs, and keeps as lexicon the words that are much likelier in toxic texts. A Levenshtein automaton per word
-runs against the lexicon's trie, so misspelled terms are hits as well; a neighbour that clean texts use often is
+word occurs, and keeps as lexicon the words that are much likelier in toxic texts. Words run through the Levenshtein
+automata of the lexicon's trie, so misspelled terms are hits as well; a neighbour that clean texts use often is
 an ordinary word and none. Every hit has a context score from the words around it: quotation (quotation marks
 around it, reporting verbs near it) against address (second person near it). A logistic model of the hits, exact and
 misspelled, quoted and direct, gives the score.
@@ -43,7 +43,12 @@ ADDRESS = frozenset("you your yours youre du dich dein deine ihr tu tú tus uste
 FEATURES = ("direct", "misspelled", "quoted", "density", "strength")
 #: Weights that hold as far as the sample says nothing else: intercept, then FEATURES.
 PRIOR = (-4.0, 2.0, 1.5, 0.5, 1.0, 0.5)
-CACHE = 1_000_000
+#: Parts of texts without a hit that a worker remembers, and the longest one. Parameters of the cost only.
+CACHE, LONGEST = 500_000, 60
+
+
+#: Least length of a term that is within reach of words with so many errors.
+LEAST = {1: 5, 2: 8}
 
 
 def errors_of(word: str) -> int:
@@ -54,9 +59,10 @@ def errors_of(word: str) -> int:
 class Lexicon:
     def __init__(self, terms: dict, ordinary: set):
         self.terms, self.ordinary = terms, ordinary
-        self.trie = Trie(terms)
+        # Terms too short for any misspelling, or for a misspelling of so long a word, are left out.
+        self.tries = {k: Trie(t for t in terms if errors_of(t) and len(t) >= LEAST[k]) for k in (1, 2)}
         self.automata = {k: Automaton(k) for k in (1, 2)}
-        self.cache: dict = {}
+        self.free: set = set()
 
     def find(self, word: str) -> tuple | None:
         """(term, distance) of the nearest term, or None."""
@@ -66,20 +72,20 @@ class Lexicon:
         if not k or word in self.ordinary:
             return None
         # The shorter of the two decides what counts as a misspelling.
-        near = [(t, d) for t, d in self.automata[k].matches(word, self.trie) if d <= errors_of(t)]
+        near = [(t, d) for t, d in self.automata[k].matches(word, self.tries[k]) if d <= errors_of(t)]
         return near[0] if near else None
 
-    def hits(self, words) -> dict:
-        """word -> (term, distance) for those of the words that hit."""
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
+    def hits(self, text: str) -> dict:
+        """word -> (term, distance) for the words of a lower-cased text that hit. No word spans white space, so parts without a hit are remembered."""
         out = {}
-        for w in words:
-            if w not in cache:
-                cache[w] = self.find(w)
-            if cache[w] is not None:
-                out[w] = cache[w]
+        if len(self.free) > CACHE:
+            self.free = set()
+        new = set(text.split()) - self.free
+        for part in new:
+            found = {w: hit for w in TOKEN.findall(part) if (hit := self.find(w)) is not None}
+            out |= found
+            if not found and len(part) <= LONGEST:
+                self.free.add(part)
         return out
 
 
@@ -92,10 +98,11 @@ def context(tokens: list, at: int) -> float:
 
 
 def features(text: str | None, lexicon: Lexicon) -> tuple:
-    tokens = TOKEN.findall((text or "").lower())
-    hits = lexicon.hits(set(tokens))
+    text = (text or "").lower()
+    hits = lexicon.hits(text)
     if not hits:
         return 0.0, 0.0, 0.0, 0.0, 0.0
+    tokens = TOKEN.findall(text)
     direct = misspelled = quoted = strength = 0.0
     for i, t in enumerate(tokens):
         if t in hits:
@@ -140,6 +147,11 @@ def sampled(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> D
     return written(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "sampled")  # 2 * sample rows at most
 
 
+def words_of(text: str | None) -> set:
+    """The distinct words: no word spans white space, so each part between it is searched once."""
+    return set(TOKEN.findall(" ".join(set((text or "").lower().split()))))
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """word, toxic and clean: in how many texts of either label. Every batch adds its own first."""
 
@@ -147,7 +159,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             seen = {0: Counter(), 1: Counter()}
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[int(toxic)].update(set(TOKEN.findall((text or "").lower())))
+                seen[int(toxic)].update(words_of(text))
             words = list(seen[0] | seen[1])
             yield pd.DataFrame({"word": words, "toxic": [seen[1][w] for w in words], "clean": [seen[0][w] for w in words]})
 
@@ -170,8 +182,8 @@ def learn(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> tup
 
     def near(batches):
         for batch in batches:
-            found = _lexicon(data).hits(batch["word"])
-            yield batch[batch["word"].isin(found.keys())]
+            lexicon = _lexicon(data)
+            yield batch[[lexicon.find(w) is not None for w in batch["word"]]]
 
     # The counts are a small table; the search in the trie is what takes time, so it is dealt to all cores.
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
