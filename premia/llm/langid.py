@@ -3,7 +3,8 @@
 Training counts the n-grams (1 to 4 characters of lower-cased, padded words) of all labelled texts per language and
 keeps the ranks of the most frequent ones. A document is compared with every profile by out-of-place distance: the sum,
 over its own most frequent n-grams, of how far each is from its place in the profile, at most a fixed penalty. Ties in a
-document are ordered by a hash of the n-gram, so that they favour no language.
+document are ordered by a hash of the n-gram, so that they favour no language. An n-gram is a number of 64 bits, four UTF-16
+units, so a text is counted by one sort of its numbers, and nothing is kept between texts.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if nothing could be
 learned; rows with a null language are not learned from; repeated rows count each time and get equal results; an empty table gives
@@ -13,13 +14,11 @@ an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import regex
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +28,11 @@ PLACES = 500
 #: Languages learned: the most frequent ones. The profiles, LANGUAGES * PLACES rows at most, go to every task.
 LANGUAGES = 500
 LETTERS = regex.compile(r"\p{L}+")
-#: Entries of the caches of a worker before they are started anew.
-CACHE = 300_000
+#: Characters of two units that are no letters.
+OTHERS = regex.compile(r"[^\p{L}\x00-\uFFFF]")
+#: While learning: units that are counted at a time, and n-grams that a task holds before it gives them away. Parameters of the cost only.
+CHUNK, HELD = 2_000_000, 1_000_000
+EDGE = ord("_")
 
 
 def grams(word: str, longest: int = 4) -> list:
@@ -38,22 +40,88 @@ def grams(word: str, longest: int = 4) -> list:
     return [padded[i : i + n] for n in range(1, longest + 1) for i in range(len(padded) - n + 1) if padded[i : i + n] != "_"]
 
 
+@lru_cache(1)
+def _letters() -> np.ndarray:
+    """For every UTF-16 unit whether it is, or is half of, a letter."""
+    out = np.zeros(1 << 16, bool)
+    out[[ord(c) for run in LETTERS.findall("".join(chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000)) for c in run]] = True
+    out[0xD800:0xE000] = True
+    return out
+
+
+def numbers(text: str) -> np.ndarray:
+    """The numbers of all n-grams of a text's lower-cased words, as often as they occur: the first unit in the highest bits."""
+    text = text.lower()
+    if not text.isascii():
+        text = OTHERS.sub(" ", text)
+    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2")
+    letter = np.concatenate(([False], _letters()[units], [False]))
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]  # the edge behind a word, which is that before the next one
+    kept[0] = True
+    if not letter.any():
+        return np.zeros(0, np.uint64)
+    edge = ~letter[kept]
+    units = np.where(letter, np.concatenate(([EDGE], units, [EDGE])), EDGE)[kept].astype(np.uint64)
+    two = units[:-1] << np.uint64(48) | units[1:] << np.uint64(32)
+    three = two[:-1] | units[2:] << np.uint64(16)
+    four = three[:-1] | units[3:]
+    within = ~edge[1:-1]
+    return np.concatenate((units[~edge] << np.uint64(48), two, three[within], four[within[:-1] & within[1:]]))
+
+
+def number(gram: str) -> int:
+    return int.from_bytes(gram.encode("utf-16-be", "surrogatepass").ljust(8, b"\0"), "big")
+
+
+def gram_of(n: int) -> str:
+    """The n-gram of a number."""
+    units = [n >> shift & 0xFFFF for shift in (48, 32, 16, 0)]
+    return b"".join(u.to_bytes(2, "big") for u in units if u).decode("utf-16-be", "surrogatepass")
+
+
+def mixed(n: np.ndarray) -> np.ndarray:
+    """A hash of every number."""
+    n = (n ^ n >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+    n = (n ^ n >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return n ^ n >> np.uint64(32)
+
+
 def counted(rows: DataFrame) -> DataFrame:
-    """lang, gram, n over rows (lang, text). Every batch adds its words, then its n-grams, before anything is shuffled."""
+    """lang, gram (its number), n over rows (lang, text). Every task adds what it counts before anything is shuffled."""
 
     def count(batches):
+        texts: dict = {}
+        sums: dict = {}
+
+        def add(lang):
+            found, n = np.unique(numbers(" ".join(texts.pop(lang)[1])), return_counts=True)
+            if lang in sums:
+                found = np.concatenate((sums[lang][0], found))
+                n = np.concatenate((sums[lang][1], n))
+                found, place = np.unique(found, return_inverse=True)
+                n = np.bincount(place, weights=n).astype(np.int64)
+            sums[lang] = found, n
+
+        def out():
+            for lang, (found, n) in sums.items():
+                yield pd.DataFrame({"lang": lang, "gram": found.view(np.int64), "n": n})
+            sums.clear()
+
         for batch in batches:
-            words: dict = {}
             for lang, text in zip(batch["lang"], batch["text"]):
-                words.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
-            for lang, seen in words.items():
-                found: Counter = Counter()
-                for word, n in seen.items():
-                    for g in grams(word):
-                        found[g] += n
-                yield pd.DataFrame({"lang": lang, "gram": list(found), "n": list(found.values())})
+                held = texts.setdefault(lang, [0, []])
+                held[1].append(text or "")
+                held[0] += len(held[1][-1])
+                if held[0] >= CHUNK:
+                    add(lang)
+            for lang in list(texts):  # no batch's texts are held longer than the batch
+                add(lang)
+            if sum(len(f) for f, _ in sums.values()) > HELD:
+                yield from out()
+        yield from out()
 
-    return rows.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def profiles(rows: DataFrame, places: int = PLACES, languages: int = LANGUAGES) -> dict:
@@ -69,7 +137,7 @@ def profiles(rows: DataFrame, places: int = PLACES, languages: int = LANGUAGES)
     rows = best.withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= places).select("lang", "gram", "r").collect()
     out: dict = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.r)):
-        out.setdefault(r.lang, []).append(r.gram)
+        out.setdefault(r.lang, []).append(gram_of(r.gram))
     return out
 
 
@@ -77,50 +145,24 @@ class Matcher:
     def __init__(self, profiles_: dict):
         self.langs = sorted(profiles_)
         self.places = max(map(len, profiles_.values()), default=0)
-        self.ranks = [{g: i for i, g in enumerate(profiles_[x])} for x in self.langs]
-        self.restart()
-
-    def restart(self) -> None:
-        self.numbers: dict = {}
-        self.words: dict = {}
-        self.known = np.zeros((0, len(self.langs)), np.int32)
-        self.hashes = np.zeros(0, np.uint64)
-
-    def ids(self, word: str) -> np.ndarray:
-        """Numbers of the word's n-grams."""
-        out = self.words.get(word)
-        if out is None:
-            numbers = self.numbers
-            out = np.array([numbers.setdefault(g, len(numbers)) for g in grams(word)], np.int64)
-            if len(word) < 50:
-                self.words[word] = out
-        return out
-
-    def grow(self) -> None:
-        """Places in all profiles, and hashes, of the n-grams that are new; a gram outside a profile has place -1."""
-        new = list(self.numbers)[len(self.hashes) :]
-        if new:
-            places = np.array([[r.get(g, -1) for r in self.ranks] for g in new], np.int32).reshape(len(new), len(self.langs))
-            self.known = np.concatenate([self.known, places])
-            self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(g) for g in new], np.uint64)])
+        #: All n-grams of the profiles in the order of their numbers, with their place in every profile; -1: in none of its places.
+        self.known = np.array(sorted({number(g) for p in profiles_.values() for g in p}), np.uint64)
+        self.ranks = np.full((len(self.known) + 1, len(self.langs)), -1, np.int32)
+        for i, lang in enumerate(self.langs):
+            self.ranks[np.searchsorted(self.known, np.array([number(g) for g in profiles_[lang]], np.uint64)), i] = np.arange(len(profiles_[lang]))
 
     def distances(self, text: str | None) -> np.ndarray | None:
         """Out-of-place distance to every language, as a share of the largest possible one."""
-        words = Counter(LETTERS.findall((text or "").lower()))
-        if not words or not self.langs:
+        found, n = np.unique(numbers(text or ""), return_counts=True)
+        if not len(found) or not self.langs:
             return None
-        if len(self.words) > CACHE or len(self.numbers) > CACHE:
-            self.restart()
-        lists = [self.ids(w) for w in words]
-        self.grow()
-        weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(x) for x in lists])
-        found, place = np.unique(np.concatenate(lists), return_inverse=True)
-        n = np.bincount(place, weights=weight)
         if len(found) > self.places:  # only what can be among the first places is sorted
             least = np.partition(n, -self.places)[-self.places]
             found, n = found[n >= least], n[n >= least]
-        found = found[np.lexsort((self.hashes[found], -n))][: self.places]
-        known = self.known[found]
+        found = found[np.lexsort((mixed(found), -n))][: self.places]
+        at = np.searchsorted(self.known, found)
+        at[self.known[np.minimum(at, len(self.known) - 1)] != found] = len(self.known)  # the row of -1
+        known = self.ranks[at]
         off = np.where(known < 0, self.places, np.abs(known - np.arange(len(found))[:, None]))
         return off.sum(axis=0) / (len(found) * self.places)
 

@@ -1,6 +1,9 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from premia.llm import langid
 
 ALPHABETS = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "éèñßäop"}
@@ -15,7 +18,7 @@ def brute(text, profiles):
     for w in langid.LETTERS.findall(text.lower()):
         n.update(langid.grams(w))
     places = max(map(len, profiles.values()))
-    mine = sorted(n, key=lambda g: (-n[g], langid.xxhash.xxh64_intdigest(g)))[:places]
+    mine = sorted(n, key=lambda g: (-n[g], int(langid.mixed(np.array([langid.number(g)], np.uint64))[0])))[:places]
     out = {}
     for lang, ranked in profiles.items():
         rank = {g: i for i, g in enumerate(ranked)}
@@ -61,12 +64,24 @@ def test_empty_and_unlabelled_tables(spark, make, empty, docs):
     assert {r.lang_pred for r in none} == {"und"}
 
 
-def test_caches_that_start_anew(monkeypatch):
+@pytest.mark.parametrize("text", ["", "a", "  a b", "Das IST, ein--Test 12ab3 é", "\U0001f600 no 漢字x \U00020000y", "x\U0001f600y İ"])
+def test_numbers_are_the_grams_of_the_words(text):
+    want = Counter()
+    for w in langid.LETTERS.findall(text.lower()):
+        want.update(langid.grams(w) if max(map(ord, w)) < 65536 else [])
+    got = Counter(langid.gram_of(int(n)) for n in langid.numbers(text))
+    assert {g: n for g, n in got.items() if not any(0xD800 <= ord(c) < 0xE000 or ord(c) > 65535 for c in g)}.items() >= want.items()
+    if all(ord(c) < 65536 or not c.isalpha() for c in text):
+        assert got == want
+
+
+def test_counts(spark, docs):
     rng = random.Random(5)
-    profiles = {x: langid.grams(prose(x, 5, rng)) for x in ALPHABETS}
-    texts = [prose(rng.choice(list(ALPHABETS)), 30, rng) for _ in range(30)]
-    whole = langid.Matcher(profiles)
-    want = [whole.predict(t) for t in texts]
-    monkeypatch.setattr(langid, "CACHE", 10)
-    small = langid.Matcher(profiles)
-    assert [small.predict(t) for t in texts] == want
+    rows = [(rng.choice(list(ALPHABETS)), prose("aa", 20, rng)) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    whole = sorted(langid.counted(frame).collect())
+    want = Counter()
+    for lang, text in rows:
+        for w in text.split():
+            want.update((lang, g) for g in langid.grams(w))
+    assert {(r.lang, langid.gram_of(r.gram)): r.n for r in whole} == want
