@@ -3,7 +3,7 @@
 Fingerprints: 64 bits, the majority over the XXH64 hashes of a text's word shingles. Equal fingerprints are one node.
 Two nodes within the radius agree on at least two of radius + 2 blocks of bits, so they meet in the bucket of one pair
 of blocks (``near_duplicates``); for similarities as low as 0.8, longer fingerprints meet in buckets of equal
-least shingle hashes (``survivors``). A task receives its buckets as one sorted sequence and holds it vertically: 64 bit planes, one lane per
+least shingle hashes and are candidates only, decided by their sets of shingles (``survivors``). A task receives its buckets as one sorted sequence and holds it vertically: 64 bit planes, one lane per
 fingerprint. Comparing the sequence with itself, shifted by d lanes, gives the differing bits of 64 pairs per machine
 word; carry-save adders take seven planes at a time into bitwise counters; words in which every lane is of two
 buckets, already linked, or beyond the radius are abandoned. A bucket above ``BUCKET`` nodes is cut into chunks,
@@ -33,6 +33,12 @@ from premia.llm.components import components
 SEED = 42
 #: Most nodes of a bucket that one task compares as a whole. A parameter of the cost only.
 BUCKET = 4096
+#: Most shingles of the nodes that one task checks against each other as a whole. A parameter of memory only.
+HELD = 4_000_000
+#: Up to so many nodes, all pairs are checked without a look at their fingerprints.
+FEW = 32
+#: Bytes of a node that are fingerprint; what follows only names it.
+PRINT = 32
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -75,26 +81,47 @@ def fingerprints(text, shingle: int = 4):
     return of(text)
 
 
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingles as sorted 64-bit hashes."""
+    digest = xxhash.xxh3_64_intdigest
+    return np.unique(np.array([digest(x, SEED) for x in set(shingles(text, shingle))], "<u8"))
+
+
 def long_print(text: str | None, shingle: int, bands: int) -> tuple:
-    """(256-bit fingerprint, ``bands`` least hash values of the shingles under as many hash functions)."""
-    parts = shingles(text, shingle)
-    if not parts:
-        return bytes(32), []
+    """(256-bit fingerprint, ``bands`` least hash values of the shingles under as many hash functions, ``shingle_set``)."""
+    h = shingle_set(text, shingle)
+    if not len(h):
+        return bytes(32), [], h
+    # Of the set, as the similarity is one of sets: what a text repeats does not weigh more.
     digest = xxhash.xxh3_128_digest
-    data = b"".join([digest(x, SEED) + digest(x, SEED + 1) for x in parts])
-    columns = np.frombuffer(data, np.uint8).reshape(-1, 32)
-    h = columns[:, :8].copy().view("<u8").ravel()
+    keys = [x.to_bytes(8, "little") for x in h.tolist()]
+    columns = np.frombuffer(b"".join([digest(x, SEED) + digest(x, SEED + 1) for x in keys]), np.uint8).reshape(-1, 32)
     # Odd multipliers, then a fold of the high half: one hash function per band.
     mixed = [(h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * i & 0xFFFFFFFFFFFFFFFF) for i in range(bands)]
-    return majority(columns), [int((m ^ (m >> np.uint64(32))).min().astype(np.int64)) for m in mixed]
+    return majority(columns), [int((m ^ (m >> np.uint64(32))).min().astype(np.int64)) for m in mixed], h
 
 
 def long_prints(text, shingle: int, bands: int):
-    """Column of struct(node, least): the 256-bit fingerprint and the least hashes."""
+    """Column of struct(node, least, n): the 256-bit fingerprint with 128 bits that name the set of shingles, the least hashes,
+    the number of shingles."""
 
-    @F.pandas_udf("node binary, least array<long>")
+    def row(text):
+        bits, least, h = long_print(text, shingle, bands)
+        return bits + xxhash.xxh3_128_digest(h.tobytes(), SEED), least, len(h)
+
+    @F.pandas_udf("node binary, least array<long>, n long")
     def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([long_print(t, shingle, bands) for t in texts], columns=["node", "least"])
+        return pd.DataFrame([row(t) for t in texts], columns=["node", "least", "n"])
+
+    return of(text)
+
+
+def shingle_sets(text, shingle: int):
+    """Column of sets of shingles, as the bytes of their sorted hashes."""
+
+    @F.pandas_udf("binary")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
 
     return of(text)
 
@@ -164,9 +191,10 @@ def within(planes: np.ndarray, shift: int, words: np.ndarray, alive: np.ndarray,
     return words, ~over
 
 
-def links(values: np.ndarray, ends: np.ndarray, radius: int) -> list:
+def links(values: np.ndarray, ends: np.ndarray, radius: int, agree=None) -> list:
     """Spanning forest, as (child, root) positions, of the links inside the groups of lanes (rows of bytes);
-    ends[i]: end of the group of lane i."""
+    ends[i]: end of the group of lane i. With ``agree``, a pair within the radius is a link only if agree(i, j) says so:
+    every such pair is asked for, unless other links already join it."""
     n = len(values)
     planes = planes_of(values)
     parent = np.arange(n)
@@ -195,7 +223,7 @@ def links(values: np.ndarray, ends: np.ndarray, radius: int) -> list:
         joined = 0
         for i in (words[row] * 64 + lane).tolist():
             a, b = root(i), root(i + shift)
-            if a != b:
+            if a != b and (agree is None or agree(i, i + shift)):
                 parent[max(a, b)] = min(a, b)
                 pairs.append((max(a, b), min(a, b)))
                 joined += 1
@@ -218,7 +246,7 @@ def _compare(radius: int, lanes: int = 1 << 16):
         nodes, sizes = nodes.filter(pa.array(more)), sizes[sizes > 1]
         pairs = np.zeros((0, 2), np.int64)
         if len(nodes):
-            values = np.frombuffer(b"".join(nodes.to_pylist()), np.uint8).reshape(len(nodes), -1)
+            values = np.frombuffer(b"".join(nodes.to_pylist()), np.uint8).reshape(len(nodes), -1)[:, :PRINT]
             pairs = np.array(links(values, np.repeat(np.cumsum(sizes), sizes), radius), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([nodes.take(pa.array(pairs[:, 0])), nodes.take(pa.array(pairs[:, 1]))], schema=schema)
 
@@ -284,20 +312,87 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, bucket:
     return prints.join(ids, "node").select("rid", "doc_id", "node", "component_id")
 
 
-def survivors(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bands: int = 6, slack: float = 0.01, bucket: int = BUCKET) -> DataFrame:
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets, as sorted arrays, have at least this Jaccard similarity."""
+    small, large = sorted((len(a), len(b)))
+    if not small or small / large < similarity:
+        return False
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")  # two runs: a merge
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common / (small + large - common) >= similarity
+
+
+def _check(similarity: float, radius: int, rows: int = 10_000):
+    schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
+
+    def agreeing(nodes, sets):
+        agree = lambda i, j: alike(sets[i], sets[j], similarity)
+        values = np.frombuffer(b"".join(nodes), np.uint8).reshape(len(nodes), -1)[:, :PRINT]
+        bits = 8 * PRINT if len(nodes) <= FEW else radius
+        return [(nodes[a], nodes[b]) for a, b in links(values, np.full(len(nodes), len(nodes)), bits, agree)]
+
+    def run(batches):
+        key, nodes, sets, out = None, [], [], []
+        for batch in batches:
+            for group, part, node, data in zip(*(batch.column(c).to_pylist() for c in ("group", "part", "node", "shingles"))):
+                if (group, part) != key:
+                    out += agreeing(nodes, sets) if len(nodes) > 1 else []
+                    key, nodes, sets = (group, part), [], []
+                    if len(out) >= rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)], schema=schema)
+                        out = []
+                nodes.append(node)
+                sets.append(np.frombuffer(data, "<u8"))
+        out += agreeing(nodes, sets) if len(nodes) > 1 else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)], schema=schema)
+
+    return run
+
+
+def checked_pairs(docs: DataFrame, placed: DataFrame, similarity: float, radius: int, shingle: int, bucket: int = BUCKET, held: int = HELD) -> DataFrame:
+    """Links (u, v) between nodes of one root whose sets of shingles have the similarity: enough of them to hold every
+    component together. ``placed``: node, first (whose rid has a text of the node), n, root."""
+    size = placed.groupBy("root").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("n")).filter("nodes > 1")
+    chunks = F.ceil(F.greatest(F.col("nodes") / bucket, F.col("n") / held))
+    groups = written(size.select("root", chunks.alias("chunks")), "groups")
+    members = placed.join(groups, "root").select("root", "node", "chunks", F.col("first.rid").alias("rid"))
+    sets = docs.select("rid", "text").join(written(members, "members"), "rid")
+    sets = sets.select(F.col("root").alias("group"), "node", "chunks", shingle_sets(F.col("text"), shingle).alias("shingles"))
+    # As in near_pairs: every two chunks of a group meet in a task of their own.
+    own = F.pmod(F.xxhash64("node"), "chunks")
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: F.least(own, j) * F.col("chunks") + F.greatest(own, j))
+    dealt = sets.select("group", "node", "shingles", F.explode(pairs).alias("part"))
+    dealt = dealt.repartition("group", "part").sortWithinPartitions("group", "part", "node")
+    return dealt.mapInArrow(_check(similarity, radius), "u binary, v binary")
+
+
+def candidate_radius(similarity: float, deviations: float = 4.0) -> int:
+    """So many standard deviations beyond the differing bits that two sets of this similarity are expected to have."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(8 * PRINT * p + deviations * math.sqrt(8 * PRINT * p * (1 - p)))
+
+
+def survivors(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bands: int = 6, deviations: float = 4.0, bucket: int = BUCKET) -> DataFrame:
     """(rid, kept): one row of each group of near copies stays, the least doc_id (null first), then the least locator.
 
-    For whole texts at a Jaccard similarity far below what few differing bits allow: 256-bit fingerprints, whose
-    share of differing bits is the angle between two shingle sets, cos = 2 J / (1 + J) for sets of a size. A
-    pair of similarity J shares one of ``bands`` least hashes with probability 1 - (1 - J) ** bands; inside these
-    buckets all pairs are compared, bit-sliced. ``docs`` has rid, doc_id, text.
+    Near copies are joined by pairs of at least this Jaccard similarity of their sets of shingles. Candidates come from
+    256-bit fingerprints, whose share of differing bits is the angle between two sets, cos = 2 J / (1 + J) for sets
+    of a size and more for others. A pair of similarity J shares one of ``bands`` least hashes with probability
+    1 - (1 - J) ** bands; inside these buckets all pairs are compared, bit-sliced. The links found are unverified, so they
+    only say which nodes may belong together: inside such a group every pair within the radius is checked on its
+    sets, unless checked pairs join it already. Equal nodes have equal sets. ``docs`` has rid, doc_id, text.
     """
-    radius = int(256 * (math.acos(2 * similarity / (1 + similarity)) / math.pi + slack))
+    radius = candidate_radius(similarity, deviations)
     prints = docs.select("rid", "doc_id", long_prints(F.col("text"), shingle, bands).alias("p")).select("rid", "doc_id", "p.*")
     prints = written(prints, "long_prints")
-    nodes = written(prints.groupBy("node").agg(F.min(F.struct("doc_id", "rid")).alias("first"), F.min("least").alias("least")), "long_nodes")
+    nodes = prints.groupBy("node").agg(F.min(F.struct("doc_id", "rid")).alias("first"), F.min("least").alias("least"), F.max("n").alias("n"))
+    nodes = written(nodes, "long_nodes")
     buckets = nodes.select("node", F.posexplode("least").alias("t", "k"))
-    placed = written(rooted(nodes.select("node", "first"), near_pairs(buckets, radius, bucket)).select("node", "first", "root"), "placed")
+    maybe = written(rooted(nodes.select("node", "first", "n"), near_pairs(buckets, radius, bucket)), "candidates")
+    checked = checked_pairs(docs, maybe, similarity, radius, shingle, bucket)
+    placed = written(rooted(nodes.select("node", "first"), checked).select("node", "first", "root"), "placed")
     first = placed.groupBy("root").agg(F.min("first").alias("keep"))
     keep = written(placed.join(first, "root").select("node", "keep.rid").withColumnRenamed("rid", "keep"), "keep")
     return prints.select("rid", "node").join(keep, "node").select("rid", (F.col("rid") == F.col("keep")).alias("kept"))

@@ -105,6 +105,40 @@ def test_long_prints_tell_similarity():
         assert low <= (a ^ b).bit_count() <= high
 
 
+def exact_survivors(texts):
+    sets = [set(simhash.shingles(t, 5)) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if root(i) != root(j) and 5 * len(a & b) >= 4 * len(a | b):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    return {i for i in parent if root(i) == i}
+
+
+def test_survivors_are_decided_by_the_shingles(spark, docs):
+    rng = random.Random(11)
+    texts = []
+    for family in range(3):  # texts of one template whose pairs have similarities from 0.5 to 0.95
+        base = [f"w{family}x{rng.randrange(9000)}" for _ in range(260)]
+        for _ in range(70):
+            at = rng.randrange(3)
+            own = rng.sample(range(260), (2, 5, 9)[at])
+            texts.append(" ".join(f"y{rng.randrange(10**6)}" if i in own else w for i, w in enumerate(base)))
+    # One repeated phrase gives most of the words, and the sets of shingles differ.
+    texts += [("same line again " * 200) + " ".join(f"z{i}q{j}" for j in range(80)) for i in range(4)]
+    want = exact_survivors(texts)
+    rows = spark.createDataFrame([(f"r{i:04}", i, t) for i, t in enumerate(texts)], "rid string, doc_id long, text string")
+    assert 20 < len(want) < len(texts) - 20
+    for bucket in (4096, 40):
+        assert {int(r.rid[1:]) for r in simhash.survivors(rows, bucket=bucket).filter("kept").collect()} == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).selectExpr("id AS u", "id + 1 AS v")
     got = components(edges).collect()
