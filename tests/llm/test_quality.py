@@ -32,6 +32,25 @@ def test_symbols_fall_out_and_clean_text_stays(spark, make, docs, corpus):
     assert kept >= {i for i, t, *_ in corpus if i is not None and 50 <= i < 60 and len(t.split()) >= 50}
 
 
+def test_thresholds_follow_the_group_in_both_directions(spark, make, docs):
+    def text(seed, symbols=0, lines=10, same=0, again=0, letters=5):
+        word = iter(range(10**6))
+        words = lambda n: [f"{seed}x{next(word)}".ljust(letters + 4, "w") for _ in range(n)]
+        rows = [" ".join(words(10)) for _ in range(lines)]
+        rows[:same] = rows[-1:] * same
+        rows += [" ".join(["so it goes"] * again)] if again else []
+        return "\n".join(rows) + "#" * symbols
+
+    rows = [(i, text(i), "en", "plain") for i in range(250)]
+    rows += [(1000 + i, text(1000 + i, symbols=90 + i % 40), "en", "tables") for i in range(250)]
+    odd = {2000: text(2000, symbols=40), 2001: text(2001, same=4), 2002: text(2002, again=25), 2003: text(2003, letters=9), 2004: text(2004, letters=1)}
+    rows += [(i, t, "en", "plain") for i, t in odd.items()]
+    got = {r["_k0"]: r for r in quality.judge(make(spark, rows), ["doc_id"]).collect()}
+    assert all(1000 * got[2000].n_symbols <= 50 * got[2000].word_chars and not got[i].base_failed for i in odd)
+    assert got[2001].n_dup_lines == 4
+    assert {i for i, r in got.items() if not r.kept} == set(odd)
+
+
 def test_kept_documents_keep_their_columns(docs, empty):
     out = quality.kept_documents(docs)
     assert out.columns == docs.columns
