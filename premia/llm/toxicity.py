@@ -30,10 +30,10 @@ from premia.llm.levenshtein import Automaton, Trie
 
 #: Labelled rows of either label that are learned from, at most.
 SAMPLE = 20_000
-#: Terms of the lexicon and ordinary neighbours, at most: the strongest ones.
-TERMS, NEIGHBOURS = 3_000, 50_000
-#: A term occurs in so many toxic texts and in such a share of them, and is so many times likelier in toxic than in clean ones.
-SUPPORT, SHARE, RATIO = 5, 0.005, 20.0
+#: Ordinary neighbours, at most.
+NEIGHBOURS = 50_000
+#: A term occurs in so many toxic texts of the sample, however large it is, and is so many times likelier in toxic than in clean ones.
+SUPPORT, RATIO = 5, 20.0
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}@$*]+|[\"'“”„«»‘’]")
 QUOTES = set("\"'“”„«»‘’")
 WINDOW = 8
@@ -174,8 +174,8 @@ def learn(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> tup
     words = written(word_counts(rows), "words")
     rate = (F.col("toxic") / max(1, n.get(1, 0))) / ((F.col("clean") + 0.5) / max(1, n.get(0, 0)))
     # Alone the words of one label say nothing.
-    strong = words.withColumn("rate", rate).filter((F.col("toxic") >= max(SUPPORT, SHARE * n.get(1, 0))) & (F.col("rate") >= RATIO) & (F.length("word") > 2))
-    top = strong.orderBy(F.desc("toxic"), "word").limit(TERMS).collect() if n.get(0) and n.get(1) else []
+    strong = words.withColumn("rate", rate).filter((F.col("toxic") >= SUPPORT) & (F.col("rate") >= RATIO) & (F.length("word") > 2))
+    top = strong.orderBy(F.desc("rate"), "word").collect() if n.get(0) and n.get(1) else []  # as many as the bounded sample has
     terms = {r.word: math.log(r.rate) / 10 for r in top}
     common = words.filter((F.col("clean") >= 2) & (F.length("word") >= 5))
     data = pickle.dumps((terms, set()))

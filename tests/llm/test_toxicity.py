@@ -1,6 +1,8 @@
+import pickle
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from premia.llm import toxicity
 from premia.llm.levenshtein import Automaton, Trie
@@ -63,6 +65,18 @@ def test_scores(spark, make, docs):
     assert by[1002].score == by[1003].score < 0.5
 
 
+def test_rare_terms_of_a_large_sample_are_learned(spark, make, docs):
+    terms = [f"{a}{b}{c}{d}x" for a in "bcdfg" for b in "aeiou" for c in "bcdfghklmnprst" for d in "abcdefghij"]  # seven texts each
+    dealt = terms * 7
+    toxic = [" ".join(dealt[i::2003]) for i in range(2003)]
+    rng = random.Random(3)
+    clean = [" ".join(prose(8, rng)) for _ in range(4000)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(toxic + clean)]
+    labels = spark.createDataFrame([(i, int(i < 2003)) for i in range(6003)], "doc_id long, toxic int")
+    lexicon, _ = toxicity.learn(make(spark, rows), labels, F.lit(False))
+    assert len(terms) > 3000 and set(pickle.loads(lexicon)[0]) == set(terms)
+
+
 def test_quotation_weighs_less():
     lexicon = toxicity.Lexicon({"gorblak": 1.0}, set())
     direct = toxicity.features("you are a gorblak and nothing else", lexicon)
