@@ -30,8 +30,6 @@ from premia.llm.levenshtein import Automaton, Trie
 
 #: Labelled rows of either label that are learned from, at most.
 SAMPLE = 20_000
-#: Ordinary neighbours, at most.
-NEIGHBOURS = 50_000
 #: A term occurs in so many toxic texts of the sample, however large it is, and is so many times likelier in toxic than in clean ones.
 SUPPORT, RATIO = 5, 20.0
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}@$*]+|[\"'“”„«»‘’]")
@@ -188,7 +186,7 @@ def learn(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> tup
     # The counts are a small table; the search in the trie is what takes time, so it is dealt to all cores.
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = common.select("word", "clean").repartition(width, "word")
-    close = dealt.mapInPandas(near, "word string, clean long").orderBy(F.desc("clean"), "word").limit(NEIGHBOURS).collect()
+    close = dealt.mapInPandas(near, "word string, clean long").select("word").collect()  # as many as the bounded sample has
     ordinary = {r.word for r in close} - set(terms)
     lexicon = pickle.dumps((terms, ordinary))
 

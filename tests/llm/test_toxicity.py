@@ -77,6 +77,20 @@ def test_rare_terms_of_a_large_sample_are_learned(spark, make, docs):
     assert len(terms) > 3000 and set(pickle.loads(lexicon)[0]) == set(terms)
 
 
+def test_all_clean_neighbours_are_ordinary_words(spark, make, docs):
+    term, letters = "snivelwormhead", "bcdfgjkpqtuxyz"
+    wrong = {term[:a] + x + term[a + 1 : b] + y + term[b + 1 :] for b in range(len(term)) for a in range(b) for x in letters for y in letters}
+    wrong |= {term[:a] + x + term[a:b] + y + term[b:] for b in range(len(term)) for a in range(b) for x in letters for y in letters}
+    wrong |= {term[:a] + x + term[a + 1 : b] + y + term[b:] for b in range(len(term)) for a in range(b) for x in letters for y in letters}
+    wrong = sorted(wrong - {term})
+    clean = [" ".join(wrong[i::300]) for i in range(300)] * 2
+    rows = [(i, t, "en", "s") for i, t in enumerate([term] * 50 + clean)]
+    labels = spark.createDataFrame([(i, int(i < 50)) for i in range(650)], "doc_id long, toxic int")
+    lexicon, _ = toxicity.learn(make(spark, rows), labels, F.lit(False))
+    terms, ordinary = pickle.loads(lexicon)
+    assert set(terms) == {term} and len(wrong) > 50_000 and ordinary == set(wrong)
+
+
 def test_quotation_weighs_less():
     lexicon = toxicity.Lexicon({"gorblak": 1.0}, set())
     direct = toxicity.features("you are a gorblak and nothing else", lexicon)
