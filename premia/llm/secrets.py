@@ -3,7 +3,8 @@
 Three base kinds and one candidate kind (``opaque``: long tokens of letters and digits) are found by regular
 expressions. Every candidate value is hashed and counted over the corpus by distinct repositories (texts: copies of a
 document are one repository) and distinct owners (sources). A value that many owners share is a copied example; one
-that few texts of a single owner hold, with enough different characters, looks live. Base spans always stay; opaque
+of which a single owner holds all repositories, however many, with enough different characters, looks live. An exact copy under
+another source is the same repository and makes no further owner. Base spans always stay; opaque
 spans are added where they look live and do not overlap a base span.
 
 Offsets are code points. They come from ``split``, which returns the gaps between the matches: the running sum of gaps
@@ -69,7 +70,7 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, max_owners: int = 1, max_repositories: int = 3, least_varied: int = 8) -> DataFrame:
+def scan(docs: DataFrame, least_varied: int = 8) -> DataFrame:
     """One row per document: rid, doc_id, base spans, all spans, and how many base values look live or copied."""
     rows = with_row_id(docs.select("doc_id", "text", "source"), "rid").withColumn("text", text_of())
     text = F.col("text")
@@ -91,8 +92,9 @@ def scan(docs: DataFrame, max_owners: int = 1, max_repositories: int = 3, least_
     # Distinct pairs first: a widely copied value reaches its final count as one row per owner and text.
     seen = each.select(value, "owner", "repository").distinct()
     per_owner = seen.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("texts"))
-    owned = per_owner.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("texts").alias("repositories"))
-    live = owned.withColumn("rare", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
+    most = per_owner.groupBy("value").agg(F.max("texts").alias("texts"))
+    repositories = seen.select("value", "repository").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("repositories"))
+    live = most.join(repositories, "value").select("value", (F.col("texts") == F.col("repositories")).alias("rare"))
     each = each.select("rid", value, "s").join(live, "value")
     looks_live = F.col("rare") & (F.col("s.varied") >= least_varied)
     is_base = F.col("s.rank") < len(BASE)

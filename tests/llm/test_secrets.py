@@ -43,6 +43,15 @@ def test_ownership_separates_copied_examples_from_live_values(spark, make, docs)
     assert got[101].spans == "" and got[101].n_live == 0
 
 
+def test_one_owner_is_live_in_any_number_of_texts(spark, make, docs):
+    rows = [(i, f"note {i} password=Zq8Rw2Lm5Tn9 and Zq8Rw2Lm5Tn9Xc4Vb7Kd1", "en", "s1") for i in range(9)]
+    rows += [(10, rows[0][1], "en", "s2"), (11, rows[0][1], "en", None)]  # exact copies elsewhere
+    rows += [(20 + i, f"note {i} password=Hk3Pw9Qd6Yt2 and Hk3Pw9Qd6Yt2Gf5Js8Bn4", "en", f"s{i}") for i in range(2)]  # two owners
+    got = {r.doc_id: r for r in secrets.scan(make(spark, rows)).collect()}
+    assert all(r.n_live == 1 and r.n_copied == 0 and "opaque:" in r.spans for i, r in got.items() if i < 20)
+    assert all(r.n_live == 0 and r.n_copied == 1 and "opaque:" not in r.spans for i, r in got.items() if i >= 20)
+
+
 def test_empty_table(empty):
     assert secrets.scan(empty).count() == 0
 
