@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from premia.functions.skew import left_join
 from premia.llm.common import WORD, chosen, documents, with_row_id, written
 
 #: Documents in a block of the flight, on average. A parameter of the cost only.
@@ -123,6 +124,13 @@ def _fly(seed: int, last: bool):
     return block
 
 
+def _with_again(sized: DataFrame) -> DataFrame:
+    """Adds again: true for the rows of a doc_id that a source has more than once, else null."""
+    per = sized.filter("doc_id IS NOT NULL").groupBy("skey", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = written(per.filter("n > 1").select("doc_id").distinct().withColumn("again", F.lit(True)), "again")
+    return left_join(sized, ids, "doc_id", "rid")
+
+
 def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: int = 2, seed: int = 7, block: int = BLOCK) -> DataFrame:
     """One row per document: rid, doc_id, size, source_size, target, copies (0 to ``cap``), taken (copies * size)."""
     return decide(with_row_id(docs.select("doc_id", "text", "source"), "rid"), weights, share, cap, seed, block)
@@ -131,7 +139,8 @@ def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: int = 2, se
 def decide(rows: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: int = 2, seed: int = 7, block: int = BLOCK) -> DataFrame:
     """The same for rows that have their locator (rid).
 
-    Equal input gives equal output: blocks, order and random numbers come from doc_id, source and ``seed`` alone.
+    Equal input gives equal output: blocks, order and random numbers come from doc_id, source and ``seed`` alone. Rows of a
+    source with a null or the same doc_id are dealt by size and row number as well, so no block has to hold them all.
     """
     # doc_id travels as a string: pandas would turn a column of whole numbers and nulls into floating point.
     sized = written(sizes(rows), "sizes")
@@ -141,9 +150,12 @@ def decide(rows: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: int = 2,
     plan = plan.withColumn("p", F.col("rate") - F.col("base"))
     largest = plan.agg(F.max("docs")).first()[0] or 0  # one number
     start = F.xxhash64(F.lit(seed), "doc_id")
-    state = sized.join(plan.select("skey", "p", "docs"), "skey").select(
+    dealt = F.xxhash64(F.lit(seed + 1), "doc_id")
+    row = F.xxhash64(F.lit(seed + 1), "doc_id", "size", F.substring_index("rid", "#", -1))
+    dealt = F.when(F.col("doc_id").isNull() | F.col("again"), row).otherwise(dealt)
+    state = _with_again(sized).join(plan.select("skey", "p", "docs"), "skey").select(
         "rid", F.col("doc_id").cast("string").alias("doc_id"), "skey", "size", F.col("p").alias("pi"), start.alias("h"),
-        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.ceil(F.col("docs") / block)).alias("block"),
+        F.pmod(dealt, F.ceil(F.col("docs") / block)).alias("block"),
     )
     blocks, decided = -(-largest // block), []
     while True:

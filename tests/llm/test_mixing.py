@@ -1,3 +1,4 @@
+import uuid
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -55,5 +56,28 @@ def test_small_blocks_keep_totals_and_reruns_agree(spark):
     assert all(abs(t - x) <= 97 for (t, _), x in total.items())
 
 
+def test_null_and_repeated_ids_spread_over_blocks(spark, monkeypatch, tmp_path):
+    seen = tmp_path / "blocks"
+    seen.mkdir()
+    fly = mixing._fly
+
+    def noted(seed, last):
+        block, to = fly(seed, last), str(seen)
+
+        def run(rows):
+            with open(f"{to}/{uuid.uuid4().hex}-{len(rows)}", "w"):
+                return block(rows)
+
+        return run
+
+    monkeypatch.setattr(mixing, "_fly", noted)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source")
+    )
+    got = mixing.mix(rows, block=64).collect()
+    assert len(got) == 3000 and abs(sum(r.taken for r in got) - 1.5 * 9000) <= 6
+    assert max(int(f.name.split("-")[1]) for f in seen.iterdir()) < 3 * 64
+
+
 def test_empty_table(empty):
     assert mixing.mix(empty).count() == 0
