@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from premia.llm import bpe, exact, langid, lines, mixing, quality, repeats, secrets, simhash, token_files, toxicity
+from premia.llm import bpe, exact, langid, lines, merkle, mixing, quality, repeats, secrets, simhash, spelling, token_files, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_merkle": merkle.op12_merkle,
     "op13_lines": lines.op13_lines,
 }
 
-ORACLES = {"op3_exact": exact.ORACLE, "op13_lines": lines.ORACLE}
+ORACLES = {"op3_exact": exact.ORACLE, "op11_spelling": spelling.ORACLE, "op12_merkle": merkle.ORACLE, "op13_lines": lines.ORACLE}
