@@ -659,34 +659,198 @@ SELECT claim_id, CASE WHEN statut = 'refuse' THEN 'ouvert' ELSE statut END AS st
   CASE WHEN statut = 'refuse' THEN date_declaration + 30 ELSE date_declaration END AS date_declaration FROM claims"""
 Q["x5_retain"] = "SELECT claim_id, date_sinistre FROM claims WHERE date_sinistre >= DATE '1997-01-01'"
 
-# Row counts after the file round trip: valid claims only, every closing date missing in the raw file
+# The jobs and what they leave behind. In the lake are the valid claims of the messy source; every closing date is missing in the raw file.
 
-
-def n(table, src):
-    return f"""SELECT '{table}' AS "table", 'row_count' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM {src}"""
+VALID = "(SELECT claim_id FROM checked WHERE len(broken) = 0)"
+LAKE = f"""(SELECT s.* EXCLUDE (montant_declare, montant_provision, montant_indemnise, statut, type_sinistre), m.montant_declare,
+    coalesce(m.montant_provision, 0) AS montant_provision, coalesce(m.montant_indemnise, 0) AS montant_indemnise, m.statut, m.type_sinistre,
+    m.description, m.is_fraud_injected, greatest(DATE '2002-01-01' - s.date_declaration, 0) AS d
+  FROM silver s JOIN checked m ON m.claim_id = CAST(s.claim_id AS VARCHAR) WHERE len(broken) = 0)"""
+LAKE_LOSSES = f"""(SELECT *, CASE WHEN statut = 'clos' THEN montant_indemnise WHEN statut IN ('ouvert', 'en_cours', 'en_litige') THEN montant_provision
+    ELSE 0 END AS incurred_loss FROM {LAKE})"""
+LAKE_KPIS = f"({kpi_join('pkpis', f'({claims_agg(LAKE_LOSSES)})')})"
+LAKE_AGED = f"""(SELECT *, annee_sinistre AS annee, CAST(d AS INTEGER) AS delai_traitement_jours,
+    CASE WHEN d <= 7 THEN '0_7j' WHEN d <= 30 THEN '7_30j' WHEN d <= 90 THEN '30_90j' ELSE '90j_plus' END AS aging_bucket FROM {LAKE})"""
+LAKE_POLICIES = f"""(SELECT *, CASE WHEN i IS NULL THEN 'inconnu' ELSE 'c' || i END AS garantie_code, prime_annuelle * i AS garantie_plafond,
+    coalesce(i % 2 = 1, false) AS garantie_incluse, coalesce(prime_mensuelle, prime_annuelle / 12) AS mensuelle FROM {COVERAGES} WHERE prime_annuelle > 0)"""
+LAKE_FLAGS = f"""(SELECT *, CASE WHEN date_sinistre - date_souscription >= 0 AND date_sinistre - date_souscription < 2 THEN 1 ELSE 0 END AS early,
+    CASE WHEN delai_declaration_jours > 180 THEN 1 ELSE 0 END AS late FROM {LAKE})"""
+REJECTS = "(SELECT * FROM checked WHERE len(broken) > 0)"
+
+
+def content(table, src, texts, euros=""):
+    """Number of rows, and a sum of 24 bits of a digest of each row."""
+    parts = [f"coalesce(CAST({c} AS VARCHAR), '-')" for c in texts.split()]
+    parts += [f"coalesce(CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR), '-')" for c in euros.split()]
+    row = f"('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 6))::BIGINT"
+    return union(
+        f"""SELECT '{table}' AS "table", 'row_count' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM {src}""",
+        f"SELECT '{table}', 'content', CAST(SUM({row}) AS DOUBLE) FROM {src}",
+    )
 
 
-VALID = "(SELECT claim_id FROM checked WHERE len(broken) = 0)"
-REAGED = f"""(SELECT DISTINCT type_sinistre, statut, annee_sinistre, produit, CASE WHEN d <= 7 THEN 1 WHEN d <= 30 THEN 2 WHEN d <= 90 THEN 3 ELSE 4 END AS b
-  FROM (SELECT *, greatest(DATE '2002-01-01' - date_declaration, 0) AS d FROM silver WHERE CAST(claim_id AS VARCHAR) IN {VALID}))"""
 Q["s_k_roundtrip"] = union(
-    n("bronze.claims", VALID),
-    n("bronze.policies", f"{COVERAGES} WHERE prime_annuelle > 0"),
-    n("bronze.clients", "clients"),
-    n("bronze.payments", "payments"),
-    n("dead_letter_queue.claims", "(SELECT claim_id FROM checked WHERE len(broken) > 0)"),
-    n("silver.claims", VALID),
-    n("silver.policies", f"{COVERAGES} WHERE prime_annuelle > 0"),
-    n("silver.clients", "clients"),
-    n("gold.portfolio_kpis", "pkpis"),
-    n("gold.earned_premium", "policies"),
-    n("gold.fraud_assessment", VALID),
-    n("gold.loss_ratio", "pkpis"),
-    n("gold.churn_scores", "clients"),
-    n("gold.claims_aging_detail", VALID),
-    n("gold.claims_aging_summary", REAGED),
-    n("gold.portfolio_exposure", f"({EXPOSURE})"),
-    n("gold.concentration_risk", "(SELECT DISTINCT produit FROM active)"),
+    content(
+        "bronze.claims", f"(SELECT *, 'b1' AS batch_id, CASE WHEN statut = 'clos' THEN montant_indemnise END AS paid FROM {LAKE})",
+        "claim_id policy_id client_id statut type_sinistre description date_sinistre batch_id", "montant_declare paid",
+    ),
+    content("bronze.policies", LAKE_POLICIES, "policy_id garantie_code produit garantie_incluse", "prime_annuelle garantie_plafond"),
+    content("bronze.clients", "clients", "client_id client_type nom segment date_creation"),
+    content("bronze.payments", "payments", "payment_id client_id statut date_paiement"),
+    content("dead_letter_queue.claims", REJECTS, "claim_id statut type_sinistre", "montant_declare"),
+    content("silver.claims", LAKE, "claim_id statut type_sinistre date_sinistre delai_declaration_jours annee_sinistre mois_sinistre produit", "montant_provision"),
+    content("silver.policies", LAKE_POLICIES, "policy_id garantie_code date_souscription", "mensuelle"),
+    content("silver.clients", "clients", "client_id region_code"),
+    content("gold.portfolio_kpis", LAKE_KPIS, "produit region_code canal_vente annee trimestre nb_polices nb_sinistres", "earned_premium incurred_losses"),
+    content("gold.earned_premium", "premiums", "policy_id annee", "earned_premium"),
+    content("gold.fraud_assessment", LAKE_FLAGS, "claim_id produit date_sinistre early late", "montant_declare"),
+    content("gold.loss_ratio", LAKE_KPIS, "produit trimestre"),
+    content("gold.churn_scores", "clients", "client_id segment"),
+    content("gold.claims_aging_detail", LAKE_AGED, "claim_id delai_traitement_jours aging_bucket"),
+    content(
+        "gold.claims_aging_summary",
+        f"(SELECT type_sinistre, aging_bucket, statut, annee, produit, COUNT(*) AS nb FROM {LAKE_AGED} GROUP BY ALL)",
+        "type_sinistre aging_bucket statut annee produit nb",
+    ),
+    content(
+        "gold.portfolio_exposure", f"(SELECT e.*, r.nom FROM ({EXPOSURE}) e LEFT JOIN regions r ON e.region_code = r.code)",
+        "region_code produit canal_vente nb_polices nom", "prime_totale",
+    ),
+    content("gold.concentration_risk", f"(SELECT produit, {msum('prime_annuelle')} AS t FROM active GROUP BY produit)", "produit", "t"),
+)
+
+Q["s1_claims_by_header"] = """
+SELECT CAST(claim_id AS VARCHAR) AS claim_id, CAST(client_id AS VARCHAR) AS client_id, statut, montant_declare, CAST(date_sinistre AS VARCHAR) AS date_sinistre,
+  CASE WHEN claim_id % 3 = 0 THEN 'r' || claim_id END AS remarque FROM claims"""
+Q["s1_broken_records"] = """
+SELECT claim_id || ',' || policy_id AS record, 'malformed_record' AS rules, 'b1' AS _batch_id FROM claims WHERE policy_id % 50 = 0"""
+Q["s2_policies_by_variant"] = """
+SELECT CAST(policy_id AS VARCHAR) AS policy_id, floor(prime_annuelle) AS prime_annuelle,
+  CAST(CASE WHEN policy_id % 13 = 0 THEN 0 ELSE policy_id % 4 END AS DOUBLE) AS franchise, 'c1' AS garantie_code, floor(prime_annuelle) AS garantie_plafond,
+  CASE WHEN policy_id % 13 = 0 THEN '{"franchise":"\\"n/a\\"","origine":"\\"web\\""}' ELSE '{"origine":"\\"web\\""}' END AS rescued
+FROM policies WHERE policy_id % 7 <> 0 AND policy_id % 11 <> 0"""
+Q["s2_broken_objects"] = """
+SELECT '{"policy_id":"' || policy_id || '","client_id":"' || client_id || '","produit":"' || produit || '","date_souscription":"' || date_souscription
+    || '","date_echeance":"' || date_echeance || '","canal_vente":"' || canal_vente || '","statut":"' || statut || '","prime_annuelle":'
+    || CASE WHEN policy_id % 11 = 0 THEN '"abc"' ELSE CAST(CAST(floor(prime_annuelle) AS BIGINT) AS VARCHAR) END
+    || ',"franchise":' || CASE WHEN policy_id % 13 = 0 THEN '"n/a"' ELSE CAST(policy_id % 4 AS VARCHAR) END
+    || ',"garanties":[{"code":"C1","plafond":' || CAST(floor(prime_annuelle) AS BIGINT) || '}],"origine":"web"' || CASE WHEN policy_id % 7 = 0 THEN '' ELSE '}' END AS record,
+  CASE WHEN policy_id % 7 = 0 THEN 'malformed_record' ELSE 'prime_annuelle_missing,prime_annuelle_not_positive' END AS rules,
+  CASE WHEN policy_id % 7 = 0 THEN '' WHEN policy_id % 13 = 0 THEN 'prime_annuelle,franchise' ELSE 'prime_annuelle' END AS paths
+FROM policies WHERE policy_id % 7 = 0 OR policy_id % 11 = 0"""
+_messages = {
+    "missing columns": "[claims] missing columns: [''client_id'', ''statut'']",
+    "unknown entity": "unknown entity ''boats''; known: [''claims'', ''clients'', ''payments'', ''policies'']",
+    "drifted types": "[claims] missing column: devise; wrong type: montant_declare is string, not double",
+    "as expected": "ok",
+}
+Q["v1_schema_messages"] = union(*[f"""SELECT '{k}' AS "case", '{v}' AS message, COUNT(*) AS "rows" FROM claims""" for k, v in _messages.items()])
+
+CLAIM_COUNTS = "SELECT COUNT(*) AS n, COUNT(*) FILTER (len(broken) = 0) AS ok FROM checked"
+POLICY_COUNTS = f"SELECT COUNT(*) AS n, COUNT(*) FILTER (prime_annuelle > 0) AS ok FROM {COVERAGES}"
+Q["m5_run_steps"] = union(
+    *[
+        f"SELECT '{run}' AS run_id, CAST({i} AS INTEGER) AS position, '{step}' AS step, 'ok' AS status, n AS nb_in, ok AS nb_out, n - ok AS nb_rejected FROM ({counts})"
+        for run in ("b1", "b2")
+        for i, (step, counts) in enumerate((("claims", CLAIM_COUNTS), ("policies", POLICY_COUNTS)), 1)
+    ]
+)
+_N = {
+    "(SELECT COUNT(*) FROM checked WHERE len(broken) = 0)": 4,  # Bronze and Silver claims, fraud, aging detail
+    f"(SELECT COUNT(*) FROM {LAKE_POLICIES})": 2,
+    "(SELECT COUNT(*) FROM clients)": 3,
+    "(SELECT COUNT(*) FROM payments)": 1,
+    "(SELECT COUNT(*) FROM pkpis)": 2,
+    "(SELECT COUNT(*) FROM policies)": 1,
+    f"(SELECT COUNT(*) FROM (SELECT DISTINCT type_sinistre, aging_bucket, statut, annee, produit FROM {LAKE_AGED}))": 1,
+    f"(SELECT COUNT(*) FROM ({EXPOSURE}))": 1,
+    "(SELECT COUNT(DISTINCT produit) FROM active)": 1,
+}
+Q["m5_run_summary"] = f"""
+SELECT 'b1' AS run_id, n AS total_records_out, r AS total_rejected, round(r / greatest(n, 1) * CAST(100 AS DOUBLE), 4) AS rejection_rate_pct
+FROM (SELECT {" + ".join(f"{k} * {v}" for k, v in _N.items())} AS n,
+  (SELECT COUNT(*) FROM {REJECTS}) + (SELECT COUNT(*) FROM {COVERAGES} WHERE NOT coalesce(prime_annuelle > 0, false)) AS r)"""
+
+
+def suite(name, body):
+    return f"""SELECT '{name}' AS suite, "check", round(observed, 9) AS observed, threshold, passed FROM ({body})"""
+
+
+Q["q22_lake_checks"] = union(
+    suite("bronze", Q["q_bronze_suite"].replace("FROM claims", f"FROM {LAKE}").replace("FROM policies", f"FROM {LAKE_POLICIES}")),
+    suite("silver", Q["q_silver_suite"].replace("FROM silver", f"FROM {LAKE}").replace("FROM quarterly", f"FROM {LAKE_KPIS}")),
+)
+Q["m4_lake_tables"] = union(
+    *[
+        f"""SELECT '{table}' AS "table", '{name}' AS metric, CAST({value} AS DOUBLE) AS value FROM {src}"""
+        for table, name, value, src in (
+            ("silver_claims", "row_count", "COUNT(*)", LAKE), ("silver_claims", "injected_fraud_count", "COUNT(*) FILTER (is_fraud_injected)", LAKE),
+            ("silver_clients", "row_count", "COUNT(*)", "clients"), ("silver_policies", "row_count", "COUNT(*)", LAKE_POLICIES),
+            ("gold_portfolio_kpis", "row_count", "COUNT(*)", "pkpis"), ("gold_fraud_assessment", "row_count", "COUNT(*)", LAKE),
+            ("gold_churn_scores", "row_count", "COUNT(*)", "clients"), ("gold_loss_ratio", "row_count", "COUNT(*)", "pkpis"),
+        )
+    ]
+)
+Q["m1_lake_nulls"] = union(
+    *null_pct("bronze", "claims", LAKE, ("claim_id", "policy_id", "client_id", "date_sinistre", "montant_declare", "statut")),
+    *null_pct("bronze", "policies", LAKE_POLICIES, ("policy_id", "client_id", "produit", "prime_annuelle")),
+    *null_pct("silver", "claims", f"(SELECT * REPLACE (CAST(NULL AS DATE) AS date_cloture) FROM {LAKE})", ("claim_id", "date_sinistre", "date_cloture", "delai_declaration_jours", "produit")),
+    *null_pct("silver", "clients", "clients", ("client_id", "segment", "region_code")),
+    *null_pct("gold", "fraud_assessment", f"(SELECT claim_id, 0 AS fraud_score FROM {LAKE})", ("claim_id", "fraud_score")),
+)
+Q["m1_lake_duplicates"] = union(
+    *[
+        f"""SELECT '{table}' AS "table", COUNT(*) AS total, COUNT(DISTINCT {key}) AS "distinct", COUNT(*) - COUNT(DISTINCT {key}) AS duplicates FROM {src}"""
+        for table, key, src in (
+            ("bronze_claims", "claim_id", LAKE), ("bronze_policies", "policy_id", LAKE_POLICIES), ("silver_claims", "claim_id", LAKE),
+            ("silver_clients", "client_id", "clients"), ("gold_fraud_assessment", "claim_id", LAKE), ("gold_churn_scores", "client_id", "clients"),
+        )
+    ]
+)
+Q["k8_exports"] = union(
+    f"""SELECT 'claims' AS "table", 'claim_id,policy_id,type_sinistre,date_sinistre,montant_declare,montant_indemnise,prime_annuelle,statut,produit,region_code,delai_declaration_jours' AS columns,
+    COUNT(*) AS "rows", CAST(SUM(claim_id) AS BIGINT) AS key_sum FROM {LAKE}""",
+    f"""SELECT 'fraud_assessment', 'claim_id,produit,fraud_score,is_fraud_suspected,flag_early_claim,flag_high_amount,flag_frequent_claimant,flag_address_cluster,flag_late_declaration',
+    COUNT(*), CAST(SUM(claim_id) AS BIGINT) FROM {LAKE}""",
+    "SELECT 'portfolio_kpis', 'region_code,canal_vente,nb_polices,nb_sinistres,loss_ratio,delai_moyen_declaration', COUNT(*), CAST(SUM(nb_polices) AS BIGINT) FROM pkpis",
+    "SELECT 'churn_scores', 'client_id,segment,churn_score,churn_segment,region_code', COUNT(*), CAST(SUM(client_id) AS BIGINT) FROM clients",
+)
+
+
+def kept(table, key, src):
+    return union(
+        f"""SELECT '{table}' AS "table", 'row_count' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM {src}""",
+        f"SELECT '{table}', 'key_sum', CAST(SUM({key}) AS DOUBLE) FROM {src}",
+    )
+
+
+Q["x3_erase_closure"] = union(
+    kept("silver.claims", "claim_id", "(SELECT * FROM claims WHERE client_id % 500 <> 7)"),
+    kept("silver.policies", "policy_id", "(SELECT * FROM policies WHERE client_id % 500 <> 7)"),
+    kept("silver.clients", "client_id", "(SELECT * FROM clients WHERE client_id % 500 <> 7)"),
+    kept("bronze.payments", "payment_id", "(SELECT * FROM payments WHERE NOT (client_id % 500 = 7 AND client_id IN (SELECT client_id FROM clients)))"),
+    kept("dead_letter_queue.claims", "claim_id", "(SELECT claim_id, unnest([1, 2]) FROM claims WHERE claim_id % 97 = 0 AND client_id % 500 <> 7)"),
+)
+Q["x4_correct_partitions"] = """
+SELECT CAST(claim_id AS VARCHAR) AS claim_id, statut, date_sinistre, CAST(year(date_sinistre) AS VARCHAR) AS annee_sinistre, strftime(date_sinistre, '%m') AS mois_sinistre
+FROM (SELECT claim_id, CASE WHEN policy_id % 200 = 0 THEN 'clos' ELSE statut END AS statut,
+  CASE WHEN policy_id % 200 = 0 THEN date_sinistre + 400 ELSE date_sinistre END AS date_sinistre FROM claims)"""
+Q["x5_expire"] = "SELECT CAST(claim_id AS VARCHAR) AS claim_id, date_sinistre FROM claims WHERE date_sinistre >= DATE '1997-03-15'"
+RATES = """(SELECT year(date_souscription) * 12 + month(date_souscription) - 1 AS month, COUNT(*) % 40 / CAST(100 AS DOUBLE) AS rate
+    FROM policies GROUP BY 1 HAVING month % 5 <> 0)"""
+Q["s9_constant_money"] = f"""
+SELECT claim_id, round(round(montant_declare * (SELECT exp(SUM(ln(1 + rate / 100))) FROM {RATES}) / index, 2), 1) AS montant_constant
+FROM (SELECT *, year(date_sinistre) * 12 + month(date_sinistre) - 1 AS m FROM claims) c
+  ASOF LEFT JOIN (SELECT month, exp(SUM(ln(1 + rate / 100)) OVER (ORDER BY month)) AS index FROM {RATES}) i ON c.m >= i.month"""
+Q["a12_exact_cells"] = """
+SELECT type_sinistre, statut, round(quantile_cont(CAST(delai_traitement_jours AS DOUBLE), 0.5), 6) AS median,
+  round(quantile_cont(CAST(delai_traitement_jours AS DOUBLE), 0.9), 6) AS p90 FROM aged WHERE delai_traitement_jours IS NOT NULL GROUP BY ALL"""
+Q["a12_merged_sketches"] = "SELECT type_sinistre, statut, COUNT(*) AS nb, true AS median_within, true AS p90_within FROM aged GROUP BY ALL"
+Q["a14_key_sets"] = """
+SELECT COUNT(*) AS n_bronze, COUNT(statut) AS n_silver, true AS bronze_within, true AS silver_within, true AS both_within, true AS lost_within FROM messy"""
+Q["a14_duplicates"] = union(
+    "SELECT 'policy' AS key, COUNT(*) = COUNT(DISTINCT l_orderkey) AS passed FROM lineitem",
+    "SELECT 'line', COUNT(*) = COUNT(DISTINCT l_orderkey || '-' || l_linenumber) FROM lineitem",
 )
 
 ORACLES = {name: PREFIX + body.strip() for name, body in Q.items()}

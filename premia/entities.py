@@ -77,3 +77,8 @@ FLAGS = {
 
 KPI_DIMS = ("produit", "region_code", "canal_vente", "annee", "trimestre")
 CELL_DIMS = ("produit", "region_code", "canal_vente")
+
+# Service columns of ingestion: text of a record that does not fit and the file it came from; paths of JSON values of another
+# type than the schema's, and as JSON text what the schema has no place for.
+CORRUPT, FILE = "_corrupt_record", "_record_file"
+CONFLICTS, RESCUED = "_type_conflicts", "_rescued"

@@ -3,8 +3,8 @@
 Two rules look at the neighbours of a claim: earlier claims of the same client, and claims at the same
 address. Instead of joining claims with claims, both first reduce the claims to one row per client and day
 (and product), combined map-side, look around in a range window over those days, and join the few days
-that matter back. A client or address with very many claims still has at most one row per day (and product) in its
-window, so no window group grows with the number of claims.
+that matter back. A client or address with very many claims still has at most one row per day in its
+window, so no window group grows with the number of claims or products.
 """
 
 from __future__ import annotations
@@ -72,38 +72,84 @@ def claims_in_window(claims: DataFrame, days: int = 365) -> DataFrame:
     return per_day.select("client_id", "date_sinistre", F.sum("_n").over(look_back).alias("claims_in_window"))
 
 
+def join_by_visit(claims: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``claims`` with what was found by client and day. Claims without one of the keys match nothing and are spread by their id; the hash in the join
+    gives the found rows a shuffle of their own, so that AQE can split a client's busy day."""
+    own = F.xxhash64(*keys)
+    known = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(False)) for k in keys], F.lit(True))
+    left = claims.withColumn("_hash", F.when(known, own).otherwise(F.xxhash64("claim_id")))
+    return left.join(found.withColumn("_hash", own), [*keys, "_hash"], "left").drop("_hash")
+
+
 def flag_frequent(claims: DataFrame, count: int = 3, days: int = 365) -> DataFrame:
     """Client with at least ``count`` claims in the look-back window, this claim included."""
     busy = claims_in_window(claims, days).filter(F.col("claims_in_window") >= count).drop("claims_in_window")
     return (
-        claims.join(busy.withColumn("_busy", F.lit(True)), ["client_id", "date_sinistre"], "left")
+        join_by_visit(claims, busy.withColumn("_busy", F.lit(True)), ["client_id", "date_sinistre"])
         .withColumn("flag_frequent_claimant", _flag(F.col("_busy") & F.col("claim_id").isNotNull()))
         .drop("_busy")
     )
 
 
+def _least_two(end: str, column: str, sign: int) -> tuple[Column, Column]:
+    """The least (or with sign -1 the greatest) client of a group of cells with its product, and the same among the other products.
+
+    ``end`` is the former, already known on every row of the group.
+    """
+    pick = F.min if sign > 0 else F.max
+    pair = F.struct(F.col(column).alias("client"), F.col("produit"))
+    return F.first(end).alias(end), pick(F.when(F.col("produit") != F.col(f"{end}.produit"), pair)).alias(f"{end}2")
+
+
+def days_at_address(cells: DataFrame) -> DataFrame:
+    """One row per address and day: ``low`` and ``high``, its least and greatest client with a product each, and ``low2``, ``high2``, the same among
+    the day's other products. These four say for every product which clients claimed for another one, and they merge over days."""
+    day = Window.partitionBy("adresse", "date_sinistre")
+    ends = cells.select(
+        "adresse", "date_sinistre", "produit", "client_low", "client_high",
+        F.min(F.struct(F.col("client_low").alias("client"), "produit")).over(day).alias("low"),
+        F.max(F.struct(F.col("client_high").alias("client"), "produit")).over(day).alias("high"),
+    )
+    return ends.groupBy("adresse", "date_sinistre").agg(*_least_two("low", "client_low", 1), *_least_two("high", "client_high", -1))
+
+
 def address_neighbours(located: DataFrame, days: int = 30) -> DataFrame:
     """Per address, day and product: smallest and largest client that claimed for another product at the
     address within ``days``. A claim has a neighbour exactly if one of the two is another client.
 
-    A cell keeps two clients, and a frame holds at most one cell per day and product, so the collected
-    list is bounded by the days of the frame times the number of products, not by the claims.
+    A day is reduced to four clients first, whatever the number of products. A range frame over the days finds the least and greatest client around, and
+    whether a second product occurs at all; only where it does, the days of the frame are joined, to merge what the other products than those two have. So a frame
+    holds days, and no more than two clients of either side for each.
     """
     keys = ["adresse", "date_sinistre", "produit"]
-    cells = located.groupBy(*keys).agg(F.min("client_id").alias("low"), F.max("client_id").alias("high"))
-    around = Window.partitionBy("adresse").orderBy(F.unix_date("date_sinistre")).rangeBetween(-days, days)
-    near = F.collect_list(F.struct("produit", "low", "high")).over(around)
-    others = F.filter("_near", lambda cell: cell["produit"] != F.col("produit"))
-    return (
-        cells.withColumn("_near", near)
-        .withColumn("_near", others)
-        .filter(F.size("_near") > 0)
-        .select(
-            *keys,
-            F.array_min(F.transform("_near", lambda cell: cell["low"])).alias("_other_low"),
-            F.array_max(F.transform("_near", lambda cell: cell["high"])).alias("_other_high"),
-        )
-    )
+    cells = located.groupBy(*keys).agg(F.min("client_id").alias("client_low"), F.max("client_id").alias("client_high"))
+    day = days_at_address(cells).withColumn("_n", F.unix_date("date_sinistre"))
+    around = Window.partitionBy("adresse").orderBy("_n").rangeBetween(-days, days)
+    others = [F.col(c).getField("produit") for c in ("low", "low2", "high", "high2")]
+    framed = day.select(
+        "adresse", "date_sinistre", "_n", F.min("low").over(around).alias("_low"), F.max("high").over(around).alias("_high"),
+        F.min(F.least(*others)).over(around).alias("_first"), F.max(F.greatest(*others)).over(around).alias("_last"),
+    ).filter(F.col("_first") != F.col("_last"))
+    # Days at most ``days`` apart lie in the same or in neighbouring blocks of ``days``.
+    block = F.floor(F.col("_n") / (days + 1))
+    asking = framed.withColumn("_block", F.explode(F.array(block - 1, block, block + 1)))
+    giving = day.select("adresse", block.alias("_block"), F.col("_n").alias("_m"), "low", "low2", "high", "high2")
+    near = asking.join(giving, ["adresse", "_block"]).filter(F.abs(F.col("_n") - F.col("_m")) <= days)
+
+    def besides(end: str) -> Column:
+        same = F.col(f"{end}.produit") == F.col(f"_{end}.produit")
+        return F.when(same, F.col(f"{end}2")).otherwise(F.col(end)).getField("client")
+
+    second = near.groupBy("adresse", "date_sinistre").agg(
+        F.first("_low").alias("_low"), F.first("_high").alias("_high"),
+        F.min(besides("low")).alias("_low2"), F.max(besides("high")).alias("_high2"),
+    )
+
+    def other(end: str) -> Column:
+        return F.when(F.col(f"{end}.produit") == F.col("produit"), F.col(f"{end}2")).otherwise(F.col(f"{end}.client"))
+
+    found = cells.select(*keys).join(second, ["adresse", "date_sinistre"])
+    return found.select(*keys, other("_low").alias("_other_low"), other("_high").alias("_other_high"))
 
 
 def flag_cluster(claims: DataFrame, clients: DataFrame, days: int = 30) -> DataFrame:
@@ -122,7 +168,7 @@ def flag_cluster(claims: DataFrame, clients: DataFrame, days: int = 30) -> DataF
         .filter(other)
         .select(*visit, F.lit(True).alias("_clustered"))
     )
-    return claims.join(clustered, visit, "left").withColumn("flag_address_cluster", _flag(F.col("_clustered"))).drop("_clustered")
+    return join_by_visit(claims, clustered, visit).withColumn("flag_address_cluster", _flag(F.col("_clustered"))).drop("_clustered")
 
 
 def flag_late(claims: DataFrame, days: int = 180) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from premia.entities import ALLOWED, POSITIVE, REQUIRED
+from premia.entities import ALLOWED, CONFLICTS, CORRUPT, POSITIVE, REQUIRED
 
 REASON = "schema_validation_failed"
+#: The one rule that a record breaks which could not be read.
+MALFORMED = "malformed_record"
 
 
 class SchemaError(Exception):
@@ -53,22 +55,37 @@ def require_columns(df: DataFrame, columns: Sequence[str], entity: str = "") ->
 
 
 def mark_rows(df: DataFrame, rules: RowRules) -> DataFrame:
-    """Add ``_rejection_rules``: the broken rules, empty on a valid row."""
-    require_columns(df, rules.required)
-    return df.withColumn("_rejection_rules", rules.broken(df.columns))
-
+    """Add ``_rejection_rules``: the broken rules, empty on a valid row.
 
-def split_rows(df: DataFrame, rules: RowRules, batch_id: str, now) -> tuple[DataFrame, DataFrame]:
-    """Valid rows as they came, and rejected rows with reason, rules, time and batch."""
-    marked = mark_rows(df, rules)
-    valid = marked.filter(F.size("_rejection_rules") == 0).drop("_rejection_rules")
-    rejected = marked.filter(F.size("_rejection_rules") > 0).withColumns(
+    A record that the reader could not take apart breaks the one rule ``malformed_record``; one with mere type conflicts is judged by
+    the columns that could be read.
+    """
+    require_columns(df, rules.required)
+    broken = rules.broken(df.columns)
+    if CORRUPT in df.columns:
+        malformed = F.col(CORRUPT).isNotNull()
+        if CONFLICTS in df.columns:
+            malformed = malformed & (F.size(CONFLICTS) == 0)
+        broken = F.when(malformed, F.array(F.lit(MALFORMED))).otherwise(broken)
+    return df.withColumn("_rejection_rules", broken)
+
+
+def with_rejection(rejected: DataFrame, batch_id: str, now) -> DataFrame:
+    """Marked rows with reason, time and batch of their rejection."""
+    return rejected.withColumns(
         {
             "_rejection_reason": F.lit(REASON),
             "_rejected_at": F.lit(now).cast("timestamp"),
             "_batch_id": F.lit(batch_id),
         }
     )
+
+
+def split_rows(df: DataFrame, rules: RowRules, batch_id: str, now) -> tuple[DataFrame, DataFrame]:
+    """Valid rows as they came, and rejected rows with reason, rules, time and batch."""
+    marked = mark_rows(df, rules)
+    valid = marked.filter(F.size("_rejection_rules") == 0).drop("_rejection_rules")
+    rejected = with_rejection(marked.filter(F.size("_rejection_rules") > 0), batch_id, now)
     return valid, rejected
 
 
@@ -94,6 +111,13 @@ def compare_schema(df: DataFrame, expected: StructType) -> list[str]:
     return out
 
 
+def require_same_types(df: DataFrame, table: StructType, entity: str = "") -> None:
+    """A batch may add columns to its table, but neither lack one nor change a type."""
+    problems = [p for p in compare_schema(df, table) if not p.startswith("unexpected column")]
+    if problems:
+        raise SchemaError(f"[{entity}] " + "; ".join(problems))
+
+
 def require_schema(df: DataFrame, expected: StructType, entity: str = "") -> None:
     problems = compare_schema(df, expected)
     if problems:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,19 +11,14 @@ from premia.entities import CLAIM_TYPES, PRODUCTS
 from premia.functions import exact_quantile, money_avg, money_sum
 from premia.operators import aging, churn, clean, dedup, enrich, expectations, exposure, fraud, kpis, premium, privacy
 from premia.operators import reports, validate
-from premia.plans import medallion
-from premia.settings import FraudSettings, QualitySettings
+from premia.plans.job_queries import JOB_QUERIES
+from premia.plans.raw_files import FRAUD, NOW, QUALITY, coverages, messy, written
 from premia.sources import driver_tables as d
-from premia.sources import readers, sinks
+from premia.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Thresholds under which both outcomes of every rule occur on the driver tables.
-FRAUD = FraudSettings(high_amount_stddev=1.5, frequent_claimant_count=8)
-QUALITY = QualitySettings(claim_date_min="1996-01-01", claim_date_max="2001-12-31")
-NOW = datetime(2002, 1, 1)
-
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -71,44 +64,8 @@ def _claims_named(spark, sf):
     return enrich.attach_label(d.timed(d.claims(spark, sf)), d.regions(spark, sf))
 
 
-def _messy(spark, sf):
-    """Claims as a careless source would send them: padded upper-case codes, missing values, amounts as
-    text that is sometimes no number."""
-    status, kind = F.col("statut"), F.col("type_sinistre")
-    number = F.format_string("%.2f", F.col("montant_declare"))
-    return d.claims(spark, sf).select(
-        F.concat(F.lit(" "), F.col("claim_id").cast("string"), F.lit(" ")).alias("claim_id"),
-        F.col("policy_id").cast("string").alias("policy_id"),
-        F.col("client_id").cast("string").alias("client_id"),
-        F.when(kind != "vol", F.concat(F.lit("  "), F.upper(status), F.lit(" "))).alias("statut"),
-        F.when(status != "refuse", F.upper(kind)).alias("type_sinistre"),
-        F.when(kind == "deces", "n/a").when(kind == "optique", "NaN").when(kind == "incendie", "0").otherwise(number).alias("montant_declare"),
-        F.when(kind != "dentaire", number).alias("montant_provision"),
-        F.when(status == "clos", number).alias("montant_indemnise"),
-        "region_code",
-        F.col("date_sinistre").cast("string").alias("date_sinistre"),
-        F.col("date_declaration").cast("string").alias("date_declaration"),
-        F.when(kind == "bris_glace", F.lit(None)).otherwise(F.concat(F.lit(" "), kind)).alias("description"),
-        F.when(status == "ouvert", "true").when(status == "clos", "maybe").otherwise("false").alias("is_fraud_injected"),
-    )
-
-
-def _coverages(spark, sf):
-    """Policies with none to three coverages each."""
-    number = F.col("policy_id") % 4
-    coverages = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), number),
-        lambda i: F.struct(
-            F.concat(F.lit("C"), i.cast("string")).alias("code"),
-            (F.col("prime_annuelle") * i).alias("plafond"),
-            (i % 2 == 1).alias("incluse"),
-        ),
-    )
-    return d.policies(spark, sf).withColumn("garanties", F.when(number > 0, coverages))
-
-
 def _flat_coverages(spark, sf):
-    return clean.explode_struct(_coverages(spark, sf), "garanties", "garantie", ("code", "plafond", "incluse"))
+    return clean.explode_struct(coverages(spark, sf), "garanties", "garantie", ("code", "plafond", "incluse"))
 
 
 # Keys, cleaning, dates -----------------------------------------------------------------------------
@@ -127,7 +84,7 @@ def j8_one_per_key(spark, sf):
 
 @query
 def p1_normalise_codes(spark, sf):
-    return clean.clean_claims(clean.cast_claims(_messy(spark, sf))).drop("date_sinistre", "date_declaration")
+    return clean.clean_claims(clean.cast_claims(messy(spark, sf))).drop("date_sinistre", "date_declaration")
 
 
 @query
@@ -200,7 +157,7 @@ def p17_aging_bucket(spark, sf):
 
 
 def _split(spark, sf):
-    return validate.split_rows(clean.cast_claims(_messy(spark, sf)), validate.rules_for("claims"), "b1", NOW)
+    return validate.split_rows(clean.cast_claims(messy(spark, sf)), validate.rules_for("claims"), "b1", NOW)
 
 
 @query
@@ -216,7 +173,7 @@ def v5_rejected_rows(spark, sf):
 
 @query
 def v9_volumetry(spark, sf):
-    return validate.volumetry(clean.cast_claims(_messy(spark, sf)), validate.rules_for("claims"))
+    return validate.volumetry(clean.cast_claims(messy(spark, sf)), validate.rules_for("claims"))
 
 
 # Joins ---------------------------------------------------------------------------------------------
@@ -476,7 +433,7 @@ def q23_anomalies(spark, sf):
 
 @query
 def m1_null_rates(spark, sf):
-    bronze, silver, gold = clean.cast_claims(_messy(spark, sf)), d.timed(d.claims(spark, sf)), _fraud(spark, sf)
+    bronze, silver, gold = clean.cast_claims(messy(spark, sf)), d.timed(d.claims(spark, sf)), _fraud(spark, sf)
     return reports.null_rates(
         {
             ("bronze", "claims"): (bronze, ("claim_id", "policy_id", "client_id", "montant_declare", "statut")),
@@ -667,8 +624,8 @@ def b15_crosstab_paid_rate(spark, sf):
 @query
 def b16_histogram(spark, sf):
     """Sixty bins under the 99th percentile of the declared amount, by product."""
-    cut = exact_quantile(d.claim_lines(spark, sf), "montant_declare", 0.99)
-    return reports.histogram(d.insured_claims(spark, sf, region=False), below=cut)
+    amounts = written(d.insured_claims(spark, sf, region=False).select("produit", "montant_declare"), "amounts")  # read several times
+    return reports.histogram(amounts, below=exact_quantile(amounts, "montant_declare", 0.99))
 
 
 @query
@@ -754,55 +711,4 @@ def x5_retain(spark, sf):
     return privacy.retain(d.claim_lines(spark, sf), "date_sinistre", 5, d.as_of()).select("claim_id", "date_sinistre")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster shares; a temporary one only where none is set and all tasks run on this machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{shared}/premia-{datetime.now():%Y%m%d%H%M%S%f}" if shared else tempfile.mkdtemp(prefix="premia-")
-
-
-def write_raw_files(spark: SparkSession, sf: str, root: str) -> dict[str, str]:
-    """The entities as the raw files the jobs read: CSV, JSON Lines, Parquet."""
-    paths = {n: f"{root}/raw/{n}" for n in ("claims", "policies", "clients", "payments", "regions")}
-    claims = _messy(spark, sf).withColumns({"date_cloture": F.lit(None).cast("string"), "fraud_rule_injected": F.lit(None).cast("string")})
-    claims.write.csv(paths["claims"], header=True, escape='"')
-    policies = _coverages(spark, sf)
-    text = ("policy_id", "client_id", "date_souscription", "date_echeance")
-    policies.withColumns({c: F.col(c).cast("string") for c in text}).write.json(paths["policies"])
-    clients = d.clients(spark, sf)
-    clients.withColumn("client_id", F.col("client_id").cast("string")).write.parquet(paths["clients"])
-    payments = d.payments(spark, sf).withColumns(
-        {c: F.lit(None).cast("string") for c in ("claim_id", "policy_id", "devise", "mode_paiement", "reference_banque", "motif_impaye")}
-    )
-    order = [f.name for f in readers.PAYMENTS_RAW.fields]
-    payments.select(order).write.csv(paths["payments"], header=True)
-    regions = d.regions(spark, sf).withColumns({"population": F.lit("1"), "densite": F.lit("1")})
-    regions.write.csv(paths["regions"], header=True)
-    return paths
-
-
-@query
-def s_k_roundtrip(spark, sf):
-    """Write the raw files, run every job over them, repeat the ingestion, and count all tables."""
-    root = shared_folder(spark)
-    raw = write_raw_files(spark, sf, root)
-    lake = medallion.Lake(root, NOW, "b1", window=d.WINDOW, fraud=FRAUD)
-    medallion.run_all(spark, raw, lake)
-    medallion.ingest_claims(spark, raw["claims"], lake)
-    medallion.ingest_policies(spark, raw["policies"], lake)
-    medallion.export_tables(spark, lake, f"{root}/exports")
-    tables = {
-        f"{layer}.{name}": (lake.read(spark, layer, name), {})
-        for layer, names in {
-            "bronze": ("claims", "policies", "clients", "payments"),
-            "dead_letter_queue": ("claims",),
-            "silver": ("claims", "policies", "clients"),
-            "gold": (
-                "portfolio_kpis", "earned_premium", "fraud_assessment", "loss_ratio", "churn_scores", "claims_aging_detail",
-                "claims_aging_summary", "portfolio_exposure", "concentration_risk",
-            ),
-        }.items()
-        for name in names
-    }
-    return reports.table_metrics(tables)
+QUERIES |= JOB_QUERIES

@@ -19,6 +19,18 @@ DEFAULTS = {
 }
 
 
+#: Partitions of a shuffle before AQE coalesces them, on a cluster. Reducers cannot be split in two when there are too few of them.
+WIDE = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000"}
+
+
+def settings_for(master: str | None, extra: dict[str, str] | None = None) -> dict[str, str]:
+    """The session's settings: a wide initial number of shuffle partitions unless all runs on this machine or ``extra`` gives a number."""
+    extra = extra or {}
+    local = master is not None and master.startswith("local")
+    given = {"spark.sql.shuffle.partitions", *WIDE} & set(extra)
+    return DEFAULTS | ({} if local or given else WIDE) | extra
+
+
 def get_session(
     app_name: str = "premia",
     master: str | None = None,
@@ -30,11 +42,11 @@ def get_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULTS)
-    if delta:
-        settings["spark.sql.extensions"] = "io.delta.sql.DeltaSparkSessionExtension"
-        settings["spark.sql.catalog.spark_catalog"] = "org.apache.spark.sql.delta.catalog.DeltaCatalog"
-    settings.update(extra or {})
+    tables = {
+        "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+        "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+    }
+    settings = settings_for(master, (tables if delta else {}) | (extra or {}))
     for key, value in settings.items():
         builder = builder.config(key, value)
     if hive:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
-from dataclasses import dataclass, field, fields
+from dataclasses import MISSING, dataclass, field, fields
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,16 @@ class QualitySettings:
     max_loss_ratio: float = 3.0
 
 
+@dataclass(frozen=True)
+class RetentionSettings:
+    """Years that a layer's rows are kept. The defaults are fixed values."""
+
+    bronze: int = 7
+    silver: int = 5
+    gold: int = 3
+    archive: int = 10
+
+
 @dataclass(frozen=True)
 class LakeSettings:
     """Where the layers live and how the tables are partitioned."""
@@ -58,11 +69,29 @@ class LakeSettings:
     gold_partitions: tuple = ("annee", "trimestre", "produit")
 
 
+def _parsed(text: str, default):
+    """``text`` as a value of the default's type. Lists are separated by commas; weights are a JSON object, or ``name=value`` pairs separated
+    by commas, and replace the defaults of the names they give."""
+    if isinstance(default, dict):
+        given = json.loads(text) if text.lstrip().startswith("{") else dict(p.split("=", 1) for p in text.split(",") if p.strip())
+        given = {k.strip(): v for k, v in given.items()}
+        unknown = sorted(set(given) - set(default))
+        if unknown:
+            raise ValueError(f"unknown names {unknown}; known: {sorted(default)}")
+        return default | {k: type(default[k])(v) for k, v in given.items()}
+    if isinstance(default, tuple):
+        return tuple(x.strip() for x in text.split(",") if x.strip())
+    return type(default)(text)
+
+
 def from_environment(cls, prefix: str, environ=os.environ):
-    """Build a settings object, reading ``PREFIX_FIELD`` for every scalar field that is set."""
+    """Build a settings object, reading ``PREFIX_FIELD`` for every field that is set."""
     given = {}
     for f in fields(cls):
         text = environ.get(f"{prefix}_{f.name}".upper())
-        if text is not None and f.default is not None and type(f.default) in (int, float, str):
-            given[f.name] = type(f.default)(text)
+        if text is not None:
+            try:
+                given[f.name] = _parsed(text, f.default if f.default is not MISSING else f.default_factory())
+            except ValueError as e:
+                raise ValueError(f"{prefix}_{f.name}".upper() + f": {e}") from None
     return cls(**given)

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from urllib.parse import quote
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from premia.settings import LakeSettings
 from premia.sources.readers import table_path
@@ -67,11 +68,43 @@ def append_batch(
     """Add a batch as a whole. The first partition column names it: all that the table holds of it is replaced, also by
     nothing and whatever the month of the earlier run."""
     first, *others = partition_by
-    place = f"{table_path(root, layer, name)}/{first}={quote(batch_id, safe=' ,-_.')}"
+    place = partition_path(table_path(root, layer, name), [first], [batch_id])
     writer = df.drop(first).write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*others) if others else writer).save(place)
 
 
+def stage_split(marked: DataFrame, place: str, rules: str = "_rejection_rules") -> dict[str, int]:
+    """Write valid and rejected rows in one pass over the input, as two partitions of one staged table; rows in and valid, from that write.
+
+    Nothing that others read has changed yet: ``staged`` reads a side back to publish it, and a job that dies before is repeated.
+    """
+    seen = Observation()
+    valid = F.size(rules) == 0
+    rows = marked.withColumn("_state", F.when(valid, F.lit("valid")).otherwise(F.lit("rejected")))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("n_in"), F.count_if(F.col("_state") == "valid").alias("n_valid"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_state").parquet(place)
+    counts = dict(seen.get)
+    return counts | {"n_rejected": counts["n_in"] - counts["n_valid"]}
+
+
+def staged(like: DataFrame, place: str, state: str) -> DataFrame:
+    """One side of a staged split: only its partition is read. Without rows on a side there is nothing to read."""
+    schema = StructType([*like.schema.fields, StructField("_state", StringType())])
+    return like.sparkSession.read.schema(schema).parquet(place).filter(F.col("_state") == state).drop("_state")
+
+
+def partition_path(table: str, names: Sequence[str], values: Sequence[str | None]) -> str:
+    """Where a partition of a table lies."""
+    texts = ["__HIVE_DEFAULT_PARTITION__" if v is None else quote(str(v), safe=" ,-_.") for v in values]
+    return "/".join([table, *[f"{n}={t}" for n, t in zip(names, texts, strict=True)]])
+
+
+def clear(spark: SparkSession, place: str) -> None:
+    """Remove all files of a table or partition: an overwrite by no partition at all leaves none."""
+    nothing = spark.range(0).withColumn("none", F.col("id"))
+    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("none").parquet(place)
+
+
 def write_rejects(rejected: DataFrame, root: str, entity: str, batch_id: str) -> None:
     """Set rejected rows aside, by batch."""
     append_batch(rejected, root, "dead_letter_queue", entity, batch_id, ["_batch_id"])
