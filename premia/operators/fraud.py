@@ -1,10 +1,9 @@
 """Five fraud rules, the weighted score and the assessment table.
 
 Two rules look at the neighbours of a claim: earlier claims of the same client, and claims at the same
-address. Instead of joining claims with claims, both first reduce the claims to one row per client and day
-(and product), combined map-side, look around in a range window over those days, and join the few days
-that matter back. A client or address with very many claims still has at most one row per day in its
-window, so no window group grows with the number of claims or products.
+address. Instead of joining claims with claims, both first count the claims per day, combined map-side, sum these counts in a
+range window over the days, and join the few days that matter back. A client or address with very many claims still has at most one
+row per day (and product) in its window, so no window frame grows with the number of claims or products.
 """
 
 from __future__ import annotations
@@ -91,81 +90,40 @@ def flag_frequent(claims: DataFrame, count: int = 3, days: int = 365) -> DataFra
     )
 
 
-def _least_two(end: str, column: str, sign: int) -> tuple[Column, Column]:
-    """The least (or with sign -1 the greatest) client of a group of cells with its product, and the same among the other products.
-
-    ``end`` is the former, already known on every row of the group.
-    """
-    pick = F.min if sign > 0 else F.max
-    pair = F.struct(F.col(column).alias("client"), F.col("produit"))
-    return F.first(end).alias(end), pick(F.when(F.col("produit") != F.col(f"{end}.produit"), pair)).alias(f"{end}2")
-
-
-def days_at_address(cells: DataFrame) -> DataFrame:
-    """One row per address and day: ``low`` and ``high``, its least and greatest client with a product each, and ``low2``, ``high2``, the same among
-    the day's other products. These four say for every product which clients claimed for another one, and they merge over days."""
-    day = Window.partitionBy("adresse", "date_sinistre")
-    ends = cells.select(
-        "adresse", "date_sinistre", "produit", "client_low", "client_high",
-        F.min(F.struct(F.col("client_low").alias("client"), "produit")).over(day).alias("low"),
-        F.max(F.struct(F.col("client_high").alias("client"), "produit")).over(day).alias("high"),
-    )
-    return ends.groupBy("adresse", "date_sinistre").agg(*_least_two("low", "client_low", 1), *_least_two("high", "client_high", -1))
+def _around(days: int, *keys: str):
+    return Window.partitionBy(*keys).orderBy(F.unix_date("date_sinistre")).rangeBetween(-days, days)
 
 
 def address_neighbours(located: DataFrame, days: int = 30) -> DataFrame:
-    """Per address, day and product: smallest and largest client that claimed for another product at the
-    address within ``days``. A claim has a neighbour exactly if one of the two is another client.
+    """Per address, day and product: ``others``, the visits for another product at the address within ``days``; only where there are any.
 
-    A day is reduced to four clients first, whatever the number of products. A range frame over the days finds the least and greatest client around, and
-    whether a second product occurs at all; only where it does, the days of the frame are joined, to merge what the other products than those two have. So a frame
-    holds days, and no more than two clients of either side for each.
+    Visits are counted per day and product, and per day, before a range frame sums them: a frame holds one number a day, whatever the number of claims or
+    products.
     """
-    keys = ["adresse", "date_sinistre", "produit"]
-    cells = located.groupBy(*keys).agg(F.min("client_id").alias("client_low"), F.max("client_id").alias("client_high"))
-    day = days_at_address(cells).withColumn("_n", F.unix_date("date_sinistre"))
-    around = Window.partitionBy("adresse").orderBy("_n").rangeBetween(-days, days)
-    others = [F.col(c).getField("produit") for c in ("low", "low2", "high", "high2")]
-    framed = day.select(
-        "adresse", "date_sinistre", "_n", F.min("low").over(around).alias("_low"), F.max("high").over(around).alias("_high"),
-        F.min(F.least(*others)).over(around).alias("_first"), F.max(F.greatest(*others)).over(around).alias("_last"),
-    ).filter(F.col("_first") != F.col("_last"))
-    # Days at most ``days`` apart lie in the same or in neighbouring blocks of ``days``.
-    block = F.floor(F.col("_n") / (days + 1))
-    asking = framed.withColumn("_block", F.explode(F.array(block - 1, block, block + 1)))
-    giving = day.select("adresse", block.alias("_block"), F.col("_n").alias("_m"), "low", "low2", "high", "high2")
-    near = asking.join(giving, ["adresse", "_block"]).filter(F.abs(F.col("_n") - F.col("_m")) <= days)
-
-    def besides(end: str) -> Column:
-        same = F.col(f"{end}.produit") == F.col(f"_{end}.produit")
-        return F.when(same, F.col(f"{end}2")).otherwise(F.col(end)).getField("client")
-
-    second = near.groupBy("adresse", "date_sinistre").agg(
-        F.first("_low").alias("_low"), F.first("_high").alias("_high"),
-        F.min(besides("low")).alias("_low2"), F.max(besides("high")).alias("_high2"),
-    )
-
-    def other(end: str) -> Column:
-        return F.when(F.col(f"{end}.produit") == F.col("produit"), F.col(f"{end}2")).otherwise(F.col(f"{end}.client"))
-
-    found = cells.select(*keys).join(second, ["adresse", "date_sinistre"])
-    return found.select(*keys, other("_low").alias("_other_low"), other("_high").alias("_other_high"))
+    of_product = located.groupBy("adresse", "produit", "date_sinistre").agg(F.count("*").alias("_n"))
+    of_day = of_product.groupBy("adresse", "date_sinistre").agg(F.sum("_n").alias("_d"))
+    of_product = of_product.withColumn("_n", F.sum("_n").over(_around(days, "adresse", "produit")))
+    of_day = of_day.withColumn("_d", F.sum("_d").over(_around(days, "adresse")))
+    others = of_product.join(of_day, ["adresse", "date_sinistre"]).filter(F.col("_d") > F.col("_n"))
+    return others.select("adresse", "produit", "date_sinistre", (F.col("_d") - F.col("_n")).alias("others"))
 
 
 def flag_cluster(claims: DataFrame, clients: DataFrame, days: int = 30) -> DataFrame:
     """Another client claimed for another product at the same address at most ``days`` apart.
 
-    The claims are reduced to one row per client, day and product before they meet the addresses, and
-    take the flag back by these three columns.
+    The claims are reduced to visits, one row per client, day and product, and take the flag back by these three columns. A visit has such a neighbour exactly if
+    the address has more visits for other products around it than its own client has: by counts, no visit meets another.
     """
     visit = ["client_id", "date_sinistre", "produit"]
     known = F.col("client_id").isNotNull() & F.col("date_sinistre").isNotNull() & F.col("produit").isNotNull()
     addresses = one_per_key(clients.select("client_id", "adresse"), ["client_id"]).filter(F.col("adresse").isNotNull())
     located = claims.filter(known).select(*visit).distinct().join(addresses, "client_id")
-    other = (F.col("_other_low") != F.col("client_id")) | (F.col("_other_high") != F.col("client_id"))
+    one = F.sum(F.lit(1))
+    own = one.over(_around(days, "client_id")) - one.over(_around(days, "client_id", "produit"))
     clustered = (
-        located.join(address_neighbours(located, days), ["adresse", "date_sinistre", "produit"])
-        .filter(other)
+        located.withColumn("_own", own)
+        .join(address_neighbours(located, days), ["adresse", "date_sinistre", "produit"])
+        .filter(F.col("others") > F.col("_own"))
         .select(*visit, F.lit(True).alias("_clustered"))
     )
     return join_by_visit(claims, clustered, visit).withColumn("flag_address_cluster", _flag(F.col("_clustered"))).drop("_clustered")

@@ -48,6 +48,7 @@ def constant_money(
     last = index.agg(F.max("month")).scalar()
     at = last if base is None else F.least(month_number(F.lit(base).cast("date")), last)
     target = dense.agg(F.max(F.when(F.col("month") == at, F.col("index")))).scalar() if base else index.agg(F.max_by("index", "month")).scalar()
-    rows = df.withColumn("_month", F.least(month_number(date), last))
+    month = month_number(date)
+    rows = df.withColumn("_month", F.when(month > last, last).otherwise(month))
     joined = rows.join(dense.select(F.col("month").alias("_month"), F.col("index").alias("_index")), "_month", "left")
     return joined.withColumn(out, F.round(F.col(amount) * target / F.col("_index"), 2)).drop("_month", "_index")

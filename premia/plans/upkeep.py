@@ -259,7 +259,7 @@ def expire(spark: SparkSession, lake: Lake) -> dict[str, Expired]:
         for values in found.dropped:
             sinks.clear(spark, sinks.partition_path(table.path(lake), table.partition_by, values))
         young = F.col(table.date).isNull() | (F.col(table.date) >= F.lit(oldest)) if table.date else F.lit(True)
-        if found.cut:
+        if found.cut and not df.filter(_one_of(table.partition_by, found.cut) & ~young).isEmpty():
             rewrite(lake, table, [Row(*v) for v in found.cut], lambda rows: rows.filter(young), df)
         out[f"{table.layer}.{table.name}"] = found
     return out

@@ -1,0 +1,179 @@
+"""Readers that keep what does not fit, and the one-pass split of ingestion."""
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from premia.operators.validate import SchemaError
+from premia.plans import medallion
+from premia.sources import readers, sinks
+from tests.conftest import rows
+
+NOW = datetime(2024, 6, 1, 12)
+HEADER = "claim_id,policy_id,client_id,type_sinistre,date_sinistre,date_declaration,montant_declare,statut"
+
+
+def good(i, amount="10"):
+    return f"c{i},p1,k1,vol,2024-01-01,2024-01-02,{amount},ouvert"
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{good(1)}\nc2,p1\n{good(3)},more,fields\n{good(4, 'abc')}\n")
+    turned = HEADER.split(",")[::-1]
+    values = [dict(zip(HEADER.split(","), good(i).split(","))) for i in (5, 6)]
+    lines = [",".join(["x", *[v[c] for c in turned]]) for v in values]
+    (tmp_path / "b.csv").write_text("﻿" + ",".join([" Extra", *turned]) + "\n" + "\n".join(lines) + "\n", encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header_only.csv").write_text(HEADER + "\n")
+    return str(tmp_path)
+
+
+def test_columns_are_matched_by_each_files_header(spark, folder):
+    got = {r["claim_id"]: r for r in readers.read_claims(spark, folder).collect()}
+    assert got["c5"]["statut"] == got["c1"]["statut"] == "ouvert" and got["c5"]["montant_declare"] == "10"
+    assert got["c5"]["extra"] == "x" and got["c1"]["extra"] is None and got["c1"]["region_code"] is None
+    assert {r["claim_id"] for r in got.values() if r["_corrupt_record"]} == {"c2", "c3"}
+    assert got["c2"]["_corrupt_record"] == "c2,p1" and got["c3"]["_corrupt_record"] == good(3) + ",more,fields"
+    assert got["c5"]["_record_file"].endswith("/b.csv") and got["c1"]["_record_file"].endswith("/a.csv")
+
+
+def test_broken_records_do_not_depend_on_the_columns_read(spark, folder):
+    df = readers.read_claims(spark, folder)
+    assert len(df.filter("_corrupt_record is not null").select("statut", "_corrupt_record").collect()) == 2
+    assert len(df.select("claim_id", "_corrupt_record").filter("_corrupt_record is null").collect()) == 4
+
+
+@pytest.mark.parametrize("header", [HEADER.replace(",statut", ""), HEADER + ",claim_id"])
+def test_a_file_without_a_required_column_is_refused_by_name(spark, folder, tmp_path, header):
+    (tmp_path / "bad.csv").write_text(header + "\n" + good(9) + "\n")
+    with pytest.raises(SchemaError, match="bad.csv"):
+        readers.read_claims(spark, folder)
+
+
+def test_multiline_text_and_an_encoding(spark, tmp_path):
+    text = HEADER + ',description\n' + good(1) + ',"two\nlines, ""quoted"""\n' + good(2) + ",é\n"
+    (tmp_path / "m.csv").write_bytes(text.encode("latin-1"))
+    got = {r["claim_id"]: r for r in readers.read_claims(spark, str(tmp_path), "ISO-8859-1", multiline=True).collect()}
+    assert got["c1"]["description"] == 'two\nlines, "quoted"' and got["c2"]["description"] == "é"
+    assert not any(r["_corrupt_record"] for r in got.values())
+
+
+def test_no_file_has_a_line(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    df = readers.read_claims(spark, str(tmp_path))
+    assert df.count() == 0 and "claim_id" in df.columns
+
+
+POLICY = {"policy_id": "p1", "client_id": "k1", "produit": "auto", "date_souscription": "2024-01-01", "date_echeance": "2025-01-01",
+          "prime_annuelle": 100.5, "canal_vente": "agent", "statut": "actif"}
+
+
+def objects(*changes):
+    return [json.dumps({k: v for k, v in (POLICY | c).items() if v != "drop"}) for c in changes]
+
+
+def read_lines(spark, tmp_path, lines, **kw):
+    (tmp_path / "p.jsonl").write_text("\n".join(lines), encoding="utf-8")
+    return {r["policy_id"]: r for r in readers.read_objects(spark, str(tmp_path / "p.jsonl"), **kw).collect()}
+
+
+def test_type_conflicts_are_listed_by_path_and_kept(spark, tmp_path):
+    got = read_lines(spark, tmp_path, objects(
+        {"policy_id": "ok", "garanties": [{"code": "C", "plafond": 5, "incluse": True}]},
+        {"policy_id": "bad", "franchise": "n/a", "produit": ["auto"], "garanties": [{"code": "C", "plafond": "x"}, 7, {"code": {"a": 1}}]},
+        {"policy_id": "not_a_list", "garanties": {"code": "C"}},
+        {"policy_id": "nulls", "franchise": None, "garanties": None},
+        {"policy_id": "more", "origine": {"canal": "web"}},
+        {"policy_id": 12},
+    ))
+    assert got["ok"]["_type_conflicts"] == [] and got["ok"]["_corrupt_record"] is None and got["ok"]["_rescued"] is None
+    assert got["ok"]["garanties"][0]["plafond"] == 5.0 and got["ok"]["prime_annuelle"] == 100.5
+    bad = got["bad"]
+    assert bad["_type_conflicts"] == ["produit", "franchise", "garanties[0].plafond", "garanties[1]", "garanties[2].code"]
+    assert bad["franchise"] is None and [g["code"] for g in bad["garanties"]] == ["C", None]
+    assert json.loads(json.loads(bad["_rescued"])["franchise"]) == "n/a" and json.loads(bad["_corrupt_record"])["policy_id"] == "bad"
+    assert got["not_a_list"]["_type_conflicts"] == ["garanties"] and got["not_a_list"]["garanties"] is None
+    assert got["nulls"]["_type_conflicts"] == [] and got["nulls"]["_rescued"] is None
+    assert json.loads(json.loads(got["more"]["_rescued"])["origine"]) == {"canal": "web"} and got["more"]["_corrupt_record"] is None
+    assert "12" in got  # a number is a good identifier
+
+
+def test_texts_that_are_no_object(spark, tmp_path):
+    lines = [*objects({"policy_id": "p1"}), '{"policy_id": "p2"', "", "  ", "[1, 2]", '"text"', "null", '{"policy_id": "p1", "policy_id": "p3"}']
+    (tmp_path / "p.jsonl").write_text("\n".join(lines))
+    found = readers.read_objects(spark, str(tmp_path)).filter("policy_id is null").select("_corrupt_record")
+    assert sorted(r[0] for r in found.collect())[:4] == ['"text"', "[1, 2]", "null", '{"policy_id": "p1", "policy_id": "p3"}'][:4]
+
+
+def test_arrays_and_single_objects_in_a_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text("[" + ",\n".join(objects({"policy_id": "a"}, {"policy_id": "b", "franchise": []})) + ", 3]")
+    (tmp_path / "one.json").write_text(json.dumps(POLICY | {"policy_id": "c"}, indent=2))
+    (tmp_path / "broken.json").write_text('[{"policy_id": "d"}, {"policy_id"')
+    got = readers.read_objects(spark, str(tmp_path), multiline=True).collect()
+    assert {r["policy_id"] for r in got if r["policy_id"]} == {"a", "b", "c"}
+    texts = [r["_corrupt_record"] for r in got if r["policy_id"] is None]
+    assert sorted(texts) == ["3", '[{"policy_id": "d"}, {"policy_id"']
+    assert json.loads(next(r for r in got if r["policy_id"] == "b")["_corrupt_record"])["policy_id"] == "b"  # its own text, not the file's
+
+
+def test_raw_files_are_read_once_with_rejects_present(spark, folder, tmp_path_factory, scans):
+    lake = medallion.Lake(str(tmp_path_factory.mktemp("lake")), NOW, "b1")
+    seen = scans()
+    assert medallion.ingest_claims(spark, folder, lake) == {"n_in": 6, "n_valid": 3, "n_rejected": 3}
+    read = [n for kind, n in seen.found(folder) if kind.startswith("Scan csv")]
+    assert sum(read) == 6  # six records in two layouts; the headers alone are read by the driver's text scans
+    assert {r["claim_id"] for r in lake.read(spark, "bronze", "claims").collect()} == {"c1", "c5", "c6"}
+    rejects = {r["claim_id"]: r for r in lake.read(spark, "dead_letter_queue", "claims").collect()}
+    assert rejects["c2"]["_rejection_rules"] == ["malformed_record"] and rejects["c2"]["_corrupt_record"] == "c2,p1"
+    assert rejects["c4"]["_rejection_rules"] == ["montant_declare_missing", "montant_declare_not_positive"] and rejects["c4"]["_corrupt_record"] is None
+    assert not spark.read.schema("claim_id string").option("recursiveFileLookup", True).parquet(f"{lake.root}/staging").count()
+
+
+def test_valid_rows_only_and_rejects_only(spark, tmp_path, tmp_path_factory):
+    lake = medallion.Lake(str(tmp_path_factory.mktemp("lake")), NOW, "b1")
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{good(1)}\n")
+    assert medallion.ingest_claims(spark, str(tmp_path), lake)["n_rejected"] == 0
+    assert lake.read(spark, "dead_letter_queue", "claims").count() == 0
+    (tmp_path / "a.csv").write_text(f"{HEADER}\nc2,p1\n")
+    assert medallion.ingest_claims(spark, str(tmp_path), lake)["n_valid"] == 0  # the batch is replaced, by nothing
+    assert readers.read_table_if_present(spark, lake.root, "bronze", "claims") is None
+    assert rows(lake.read(spark, "dead_letter_queue", "claims").select("_corrupt_record")) == [("c2,p1",)]
+
+
+def test_conflicts_reach_the_rejects_only_where_a_rule_breaks(spark, tmp_path, tmp_path_factory):
+    lake = medallion.Lake(str(tmp_path_factory.mktemp("lake")), NOW, "b1")
+    lines = objects({"policy_id": "ok"}, {"policy_id": "odd", "franchise": "n/a"}, {"policy_id": "bad", "prime_annuelle": "abc"}) + ["{"]
+    (tmp_path / "p.jsonl").write_text("\n".join(lines))
+    assert medallion.ingest_policies(spark, str(tmp_path), lake) == {"n_in": 4, "n_valid": 2, "n_rejected": 2}
+    valid = {r["policy_id"]: r for r in lake.read(spark, "bronze", "policies").collect()}
+    assert valid["odd"]["franchise"] == 0.0 and json.loads(valid["odd"]["_rescued"]) == {"franchise": '"n/a"'}
+    bad = {r["policy_id"]: r for r in lake.read(spark, "dead_letter_queue", "policies").collect()}
+    assert bad[None]["_rejection_rules"] == ["malformed_record"] and bad[None]["_corrupt_record"] == "{"
+    assert bad["bad"]["_type_conflicts"] == ["prime_annuelle"] and "prime_annuelle_missing" in bad["bad"]["_rejection_rules"]
+
+
+def test_a_batch_of_other_types_is_refused(spark, tmp_path, tmp_path_factory):
+    lake = medallion.Lake(str(tmp_path_factory.mktemp("lake")), NOW, "b1")
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{good(1)}\n")
+    old = spark.createDataFrame([("c0", "ten")], "claim_id string, montant_declare string")
+    sinks.append_batch(sinks.with_ingestion_metadata(old, "s", "b0", "f", NOW), lake.root, "bronze", "claims", "b0")
+    with pytest.raises(SchemaError, match="montant_declare is double, not string"):
+        medallion.ingest_claims(spark, str(tmp_path), lake)
+    assert lake.read(spark, "bronze", "claims").count() == 1  # nothing was published
+    (tmp_path / "a.csv").write_text(f"{HEADER},nouveau\n{good(1)},x\n")
+    other = medallion.Lake(str(tmp_path_factory.mktemp("lake")), NOW, "b1")
+    medallion.ingest_claims(spark, str(tmp_path), other)  # a new column may come
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{good(2)}\n")
+    with pytest.raises(SchemaError, match="missing column: nouveau"):
+        medallion.ingest_claims(spark, str(tmp_path), medallion.Lake(other.root, NOW, "b2"))
+
+
+def test_staged_split_is_one_table(spark, tmp_path):
+    marked = spark.range(10).select("id", F.when(F.col("id") % 3 == 0, F.array(F.lit("r"))).otherwise(F.array().cast("array<string>")).alias("_rejection_rules"))
+    assert sinks.stage_split(marked, f"{tmp_path}/s") == {"n_in": 10, "n_valid": 6, "n_rejected": 4}
+    assert sinks.staged(marked, f"{tmp_path}/s", "rejected").count() == 4
+    sinks.clear(spark, f"{tmp_path}/s")
+    assert sinks.staged(marked, f"{tmp_path}/s", "valid").count() == 0

@@ -1,0 +1,135 @@
+"""Erasure, corrections and retention: what is rewritten, and what keeps its files."""
+
+from datetime import date as D
+from datetime import datetime, timedelta
+
+import pytest
+from premia.operators import clean
+from premia.plans import medallion, upkeep
+from premia.sources import sinks
+from tests.conftest import rows
+
+NOW = datetime(2024, 3, 15)
+
+
+def files(lake, spark, layer, name):
+    """Data files by partition path; an absent table has none."""
+    df = upkeep.Table(layer, name).read(spark, lake)
+    return set() if df is None else {f.split(f"/{layer}/")[1] for f in df.inputFiles()}
+
+
+def claims_frame(frame, data):
+    df = frame(data, "claim_id string, policy_id string, client_id string, date_sinistre date, statut string, date_declaration date")
+    return clean.with_period(df).drop("trimestre")
+
+
+@pytest.fixture
+def lake(spark, frame, tmp_path):
+    """Two clients' claims in one month each, and one month in which both have some."""
+    made = medallion.Lake(str(tmp_path), NOW, "b1")
+    data = [
+        ("c1", "p1", "k1", D(2023, 1, 5), "clos", D(2023, 1, 6)), ("c2", "p1", "k2", D(2023, 2, 5), "clos", D(2023, 2, 6)),
+        ("c3", "p2", "k2", D(2023, 2, 7), "clos", D(2023, 2, 8)), ("c4", "p3", "k3", D(2023, 3, 1), "ouvert", D(2023, 3, 2)),
+        ("c5", None, None, D(2023, 3, 1), "ouvert", D(2023, 3, 2)), ("c6", "p3", "k3", None, "ouvert", None),
+    ]
+    made.write(claims_frame(frame, data), "silver", "claims", made.layout.silver_partitions)
+    made.write(frame([("p1", "k1"), ("p2", "k2"), ("p3", "k3")], "policy_id string, client_id string"), "silver", "policies")
+    former = sinks.with_ingestion_metadata(frame([("p1", "k9")], "policy_id string, client_id string"), "s", "b0", "f", NOW)
+    sinks.append_batch(former, made.root, "bronze", "policies", "b0")
+    made.write(frame([("k1", "n1"), ("k2", "n2"), ("k3", "n3")], "client_id string, nom string"), "silver", "clients")
+    made.write(frame([("y1", "c2", None), ("y2", "c4", "k3"), ("y3", None, " k1 ")], "payment_id string, claim_id string, client_id string"), "bronze", "payments")
+    made.write(frame([("c1", 10), ("c4", 0)], "claim_id string, fraud_score int"), "gold", "fraud_assessment")
+    dead = [("c1", "p1", "k1", None, "b1"), (None, None, None, "c9,k1,", "b1"), (None, None, None, "c9,k11,kk1", "b2"), ("c8", "p3", "k3", None, "b3")]
+    made.write(frame(dead, "claim_id string, policy_id string, client_id string, _corrupt_record string, _batch_id string"), "dead_letter_queue", "claims", ("_batch_id",))
+    return made
+
+
+def ids(spark, lake, layer, name, column):
+    return sorted(r[0] or "" for r in lake.read(spark, layer, name).select(column).collect())
+
+
+def test_erasure_reaches_all_that_belongs_to_a_client(spark, frame, lake):
+    before = {t: files(lake, spark, *t) for t in (("silver", "claims"), ("silver", "clients"), ("dead_letter_queue", "claims"))}
+    done = upkeep.erase_clients(spark, lake, frame([("k1",)], "client_id string"))
+    assert ids(spark, lake, "silver", "claims", "claim_id") == ["c3", "c4", "c5", "c6"]  # c2 was another client's, on an erased policy
+    assert ids(spark, lake, "silver", "policies", "policy_id") == ["p2", "p3"] and ids(spark, lake, "silver", "clients", "client_id") == ["k2", "k3"]
+    assert ids(spark, lake, "bronze", "payments", "payment_id") == ["y2"]
+    assert ids(spark, lake, "gold", "fraud_assessment", "claim_id") == ["c4"]
+    dead = rows(lake.read(spark, "dead_letter_queue", "claims").select("claim_id", "_corrupt_record", "_batch_id"), "_batch_id")
+    assert dead == [(None, "c9,k11,kk1", "b2"), ("c8", None, "b3")]
+    assert done == {
+        "bronze.payments": 1, "bronze.policies": 1, "dead_letter_queue.claims": 1, "silver.claims": 2, "silver.policies": 1, "silver.clients": 1,
+        "gold.fraud_assessment": 1,
+    }
+    after = files(lake, spark, "silver", "claims")
+    march = {f for f in before["silver", "claims"] if "mois_sinistre=03" in f or "DEFAULT" in f}
+    assert len(march) == 2 and march <= after and not any("mois_sinistre=01" in f for f in after)
+    assert {f for f in before["dead_letter_queue", "claims"] if "_batch_id=b1" not in f} == files(lake, spark, "dead_letter_queue", "claims")
+
+
+def test_erasing_nobody_rewrites_nothing(spark, frame, lake):
+    before = files(lake, spark, "silver", "claims") | files(lake, spark, "silver", "clients")
+    assert upkeep.erase_clients(spark, lake, frame([("k77",)], "client_id string")) == {}
+    assert files(lake, spark, "silver", "claims") | files(lake, spark, "silver", "clients") == before
+
+
+def test_erasing_all_leaves_only_rows_without_a_client(spark, frame, lake):
+    upkeep.erase_clients(spark, lake, frame([("k1",), ("k2",), ("k3",)], "client_id string"))
+    assert ids(spark, lake, "silver", "claims", "claim_id") == ["c5"] and ids(spark, lake, "silver", "clients", "client_id") == []
+
+
+def test_a_policy_that_changed_hands_is_found_by_its_former_owner(spark, frame, lake):
+    upkeep.erase_clients(spark, lake, frame([("k9",)], "client_id string"))
+    assert ids(spark, lake, "silver", "claims", "claim_id") == ["c3", "c4", "c5", "c6"]
+
+
+def test_corrections_rewrite_their_partitions_only(spark, frame, lake):
+    table = upkeep.Table("silver", "claims", lake.layout.silver_partitions, "date_sinistre")
+    before = files(lake, spark, "silver", "claims")
+    fixed = claims_frame(frame, [
+        ("c1", "p1", "k1", D(2023, 2, 9), "refuse", D(2023, 4, 1)),  # moves from January to February
+        ("c3", "p2", "k2", D(2023, 2, 7), "ouvert", D(2023, 1, 1)),  # older than what is there
+        ("c7", "p2", "k2", D(2023, 5, 7), "ouvert", D(2023, 5, 8)),  # new
+    ])
+    results = []
+    for _ in range(2):
+        upkeep.correct(spark, lake, table, fixed, ["claim_id"], ["date_declaration"])
+        results.append(rows(lake.read(spark, "silver", "claims").select("claim_id", "statut", "date_sinistre", "annee_sinistre", "mois_sinistre"), "claim_id"))
+    assert results[0] == results[1] and len(results[0]) == 7
+    assert results[0][0] == ("c1", "refuse", D(2023, 2, 9), "2023", "02") and results[0][2][1] == "clos" and results[0][6][0] == "c7"
+    after = files(lake, spark, "silver", "claims")
+    kept = {f for f in before if "mois_sinistre=03" in f or "DEFAULT" in f}
+    assert kept <= after and not any("mois_sinistre=01" in f for f in after)
+
+
+def test_corrections_of_a_table_without_partitions(spark, frame, lake):
+    fixed = frame([("k2", "new"), ("k4", "n4")], "client_id string, nom string")
+    upkeep.correct(spark, lake, upkeep.Table("silver", "clients"), fixed, ["client_id"], ["nom"])
+    assert rows(lake.read(spark, "silver", "clients"), "client_id") == [("k1", "n1"), ("k2", "new"), ("k3", "n3"), ("k4", "n4")]
+
+
+def test_retention_drops_months_without_reading_a_row(spark, frame, tmp_path, scans):
+    lake = medallion.Lake(str(tmp_path), NOW, "b1")
+    days = [D(2018, 1, 1) + timedelta(i) for i in range(0, 2200, 5)]
+    data = [(f"c{i}", "p", "k", day, "clos", day) for i, day in enumerate(days)] + [("none", "p", "k", None, "clos", None)]
+    lake.write(claims_frame(frame, data).repartition(1), "silver", "claims", lake.layout.silver_partitions)
+    old = files(lake, spark, "silver", "claims")
+    seen = scans()
+    (found,) = upkeep.expire(spark, lake).values()
+    assert len(found.dropped) == 14 and found.cut == [("2019", "03")]  # five years before March 15th, 2024
+    in_march = sum(1 for day in days if (day.year, day.month) == (2019, 3))
+    read = [n for _, n in seen.found(f"{lake.root}/silver/claims")]
+    assert in_march in read and max(read) == in_march  # the month of the limit is read, no dropped one
+    left = lake.read(spark, "silver", "claims")
+    assert left.filter("date_sinistre < '2019-03-15'").count() == 0 and left.count() == 1 + sum(1 for day in days if day >= D(2019, 3, 15))
+    assert {f for f in old if "annee_sinistre=2020" in f} <= files(lake, spark, "silver", "claims")
+    again = upkeep.expire(spark, lake)["silver.claims"]
+    assert again.dropped == [] and left.count() == lake.read(spark, "silver", "claims").count()
+
+
+def test_periods():
+    months, quarters = ("year", "month"), ("year", "quarter", "")
+    assert upkeep.period(("2023", "12"), months) == (D(2023, 12, 1), D(2024, 1, 1))
+    assert upkeep.period(("2023", "2023-Q4", "auto"), quarters) == (D(2023, 10, 1), D(2024, 1, 1))
+    assert upkeep.period(("2023", None), months) == (D(2023, 1, 1), D(2024, 1, 1))
+    assert upkeep.period((None, "03"), months) is None and upkeep.period(("x", "03"), months) is None
