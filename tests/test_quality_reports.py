@@ -125,7 +125,7 @@ def test_mask_erase_upsert_retain(frame):
 
 
 def test_settings_from_environment():
-    env = {"FRAUD_EARLY_CLAIM_HOURS": "72", "FRAUD_HIGH_AMOUNT_STDDEV": "2.5", "FRAUD_WEIGHTS": "ignored"}
+    env = {"FRAUD_EARLY_CLAIM_HOURS": "72", "FRAUD_HIGH_AMOUNT_STDDEV": "2.5"}
     cfg = from_environment(FraudSettings, "FRAUD", env)
     assert (cfg.early_claim_hours, cfg.high_amount_stddev, cfg.late_declaration_days) == (72, 2.5, 180)
     assert sum(cfg.weights.values()) == 100
