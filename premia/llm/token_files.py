@@ -6,15 +6,17 @@ about ``BLOCK`` ids, a payload of bits, and the bit offset of every 128th id. Th
 store that Spark writes to will do: ``codebook`` (id, n, length) and ``blocks``. Reading needs nothing else: the codes follow
 from the lengths, each block is decoded alone, and where a shard starts follows from the sums of the shards before it.
 
-Defined results: a null or empty text has the end id alone; null doc_ids come first; rows of equal doc_id are ordered by their ids; an empty
+Defined results: a null or empty text has the end id alone; null doc_ids come first; rows of equal doc_id are ordered by a digest of their ids; an empty
 table gives empty files and an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from premia.llm.common import Recent, documents, shared_folder, written
+from premia.llm.common import documents, shared_folder, written
 from premia.llm.huffman import STRIDE, Codebook, code_lengths
 
 VOCABULARY = "word_bpe_49k.json"
@@ -33,7 +35,7 @@ END = 1
 #: Ids of a block, about.
 BLOCK = 1 << 18
 #: Entries of either half of a worker's table of words.
-CACHE = 400_000
+CACHE = 600_000
 BLOCKS = "shard int, block int, first long, n long, doc_ids binary, known binary, sizes binary, payload binary, checkpoints binary"
 
 
@@ -44,6 +46,25 @@ WRITTEN = str.maketrans({chr(b): chr(256 + i) for i, b in enumerate(b for b in r
 DOUBLE = re.compile(r"(?<![^\W_])(?<![ \n\t\r])[.,][ \n]")
 
 
+#: How the library prepares a text, and what a word is to it. ``Tokens.parts`` and ``Tokens.word`` rest on this. Fixed values.
+NORMALISED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def require_known(library) -> None:
+    """Refuse a tokenizer file that prepares or splits texts in another way."""
+    spec = json.loads(library.to_str())
+    first, *others = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    found = (
+        (spec["normalizer"] or {}).get("normalizers"), first.get("pattern"), first.get("behavior"), first.get("invert"),
+        [(p["type"], p.get("add_prefix_space"), p.get("use_regex")) for p in others], spec["post_processor"], spec["model"]["type"],
+        spec["model"].get("dropout"),
+    )
+    known = (NORMALISED, {"Regex": SPLIT}, "Removed", True, [("ByteLevel", False, False)], None, "BPE", None)
+    if found != known:
+        raise ValueError(f"this tokenizer prepares or splits texts in a way that is not known here: {found}")
+
+
 class Tokens:
     """The library's ids of whole texts. No token spans a space or a line end, nor the border between a letter and a mark of
     punctuation behind it, so the parts between these are encoded once and kept. A word of plain letters goes straight to the library's
@@ -54,10 +75,12 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        require_known(self.library)
         self.model = self.library.model
         self.type = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.end = np.array([END], self.type).tobytes()
-        self.known = Recent(CACHE)
+        self.code = "H" if self.type == "<u2" else "I"  # as the array module names them, on a little-endian machine
+        self.known = Kept(self.part, CACHE)
         letters = [c for c in map(chr, range(592)) if c.isalpha()]
         tried = [(c, w) for c in letters for w in (c, f"a{c}e", f"{c}{c}")]
         wrong = {c for c, w in tried if self.word(w) != self.library.encode(w, add_special_tokens=False).ids}
@@ -78,28 +101,35 @@ class Tokens:
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text and the end id, as little-endian numbers."""
-        parts = self.parts(text or "")
-        new = self.known.new
-        out = [new.get(p) for p in parts]
-        if None in out:
-            missing = {p for p, ids in zip(parts, out) if ids is None}
-            found = {p: self.known.get(p) for p in missing}
-            rest = []
-            for p, ids in found.items():
-                if ids is None:
-                    if self.plain.issuperset(p) and p:
-                        self.keep(found, p, self.word(p))
-                    else:
-                        rest.append(p)
-            for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-                self.keep(found, p, e.ids)
-            out = [found[p] if ids is None else ids for p, ids in zip(parts, out)]
-        return b"".join(out) + self.end
-
-    def keep(self, found: dict, part: str, ids: list) -> None:
-        found[part] = np.array(ids, self.type).tobytes()
+        return b"".join(map(self.known.__getitem__, self.parts(text or ""))) + self.end
+
+    def part(self, part: str) -> bytes:
+        """Ids of a part that is not kept yet."""
+        if part and self.plain.issuperset(part):
+            ids = self.word(part)
+        else:
+            ids = self.library.encode_batch_fast([part], add_special_tokens=False)[0].ids
+        return array(self.code, ids).tobytes()
+
+
+class Kept(dict):
+    """Ids of parts, found as a dictionary finds them, so that only a new part costs a call. Full, what it holds becomes the older half, and
+    what is found there moves up. Long parts are not kept."""
+
+    def __init__(self, find, size: int):
+        super().__init__()
+        self.find, self.size, self.old = find, size, {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self.find(part)
         if len(part) < 100:
-            self.known.put(part, found[part])
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
 
 
 @lru_cache(2)
@@ -188,7 +218,10 @@ def write_files(docs: DataFrame, folder: str, path: str, block: int = BLOCK) ->
     book = pd.DataFrame({"id": at.astype(np.int64), "n": counts[at], "length": lengths[at].astype(np.int32)})
     spark.createDataFrame(book, "id long, n long, length int").coalesce(1).write.parquet(f"{folder}/codebook")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    # A null or repeated doc_id may stand for very many rows: the range goes on by digest and, for equal rows, by place in the staged files.
+    digest, place = F.xxhash64("ids").alias("digest"), F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("place")
+    keys = [F.col("doc_id").asc_nulls_first(), F.col("digest"), F.col("place")]
+    ordered = rows.select("doc_id", "ids", digest, place).repartitionByRange(shards, *keys).sortWithinPartitions(*keys).select("doc_id", "ids")
     ordered.mapInArrow(_blocks(lengths.tobytes(), size, block), BLOCKS).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 

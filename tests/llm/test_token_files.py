@@ -1,4 +1,5 @@
 import heapq
+import json
 import random
 import zlib
 
@@ -68,15 +69,51 @@ def test_files(spark, docs, corpus, block):
     token_files.write_files(docs, folder, PATH, block)
     library = Tokenizer.from_file(PATH)
     want = [(i, [*library.encode(t or "", add_special_tokens=False).ids, 1]) for i, t, *_ in corpus]
-    want.sort(key=lambda x: (x[0] is not None, x[0] or 0, np.array(x[1], "<u2").tobytes()))
+    described = [(i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in want]
     rows = sorted(token_files.read_digests(spark, folder).collect(), key=lambda r: r.start)
+    assert sorted(map(repr, described)) == sorted(repr((r.doc_id, r.n_tokens, r.ids_crc32)) for r in rows)
+    assert [r.doc_id for r in rows] == sorted((i for i, _ in want), key=lambda i: (i is not None, i or 0))
     start = 0
-    for r, (i, ids) in zip(rows, want, strict=True):
-        assert (r.doc_id, r.start, r.n_tokens) == (i, start, len(ids))
-        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
-        start += len(ids)
-    whole = {r.start: r.ids for r in token_files.read_files(spark, folder).collect()}
-    assert b"".join(bytes(whole[k]) for k in sorted(whole)) == b"".join(np.array(ids, "<u4").tobytes() for _, ids in want)
+    for r in rows:
+        assert r.start == start
+        start += r.n_tokens
+    whole = {r.start: bytes(r.ids) for r in token_files.read_files(spark, folder).collect()}
+    assert [zlib.crc32(whole[r.start]) for r in rows] == [r.ids_crc32 for r in rows]
+
+
+def test_one_identifier_of_a_third_of_the_rows_is_dealt_to_many_tasks(spark, make, docs):
+    """Null and repeated identifiers, with equal texts and with different ones."""
+    rows = [(None, f"text {i} of no identifier", "en", "a") for i in range(400)] + [(7, "the very same text", "en", "a")] * 400
+    rows += [(1000 + i, f"text {i}", "en", "a") for i in range(400)]
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        folder = shared_folder(spark, "files")
+        token_files.write_files(make(spark, rows), folder, PATH)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    blocks = spark.read.parquet(f"{folder}/blocks").groupBy("shard").sum("n").collect()
+    got = sorted(token_files.read_digests(spark, folder).collect(), key=lambda r: r.start)
+    assert len(blocks) >= 9 and len(got) == 1200
+    assert max(r["sum(n)"] for r in blocks) < sum(r.n_tokens for r in got) / 4
+    assert [r.doc_id for r in got] == [None] * 400 + [7] * 400 + [1000 + i for i in range(400)]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+
+
+def test_a_full_table_of_parts_forgets_and_finds_again():
+    calls = []
+    kept = token_files.Kept(lambda p: calls.append(p) or p.encode(), 3)
+    for p in ("a", "b", "c", "a", "d", "a", "b", "e", "f", "g", "a", "x" * 200, "x" * 200):
+        assert kept[p] == p.encode()
+    assert calls.count("c") == 1 and calls.count("x" * 200) == 2 and len(kept) <= 3 and len(kept.old) <= 3
+
+
+def test_a_tokenizer_that_splits_otherwise_is_refused(tmp_path):
+    spec = json.loads(Tokenizer.from_file(PATH).to_str())
+    for change in ({"normalizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}):
+        (tmp_path / "t.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="not known"):
+            token_files.Tokens(str(tmp_path / "t.json"))
 
 
 def test_empty_table(spark, empty):
