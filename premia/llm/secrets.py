@@ -2,16 +2,17 @@
 
 Three base kinds and one candidate kind (``opaque``: long tokens of letters and digits) are found by regular
 expressions. Every candidate value is hashed and counted over the corpus by distinct repositories (texts: copies of a
-document are one repository) and distinct owners (sources). A value that many owners share is a copied example; one
-of which a single owner holds all repositories, however many, with enough different characters, looks live. An exact copy under
-another source is the same repository and makes no further owner. Base spans always stay; opaque
-spans are added where they look live and do not overlap a base span.
+document are one repository) and distinct owners (sources). A value is a copied example if different owners hold it in different
+repositories, or if more than ``MAX_OWNERS`` owners hold it at all, be it in copies of one text. A value of which one owner holds all
+repositories, however many, and which few others have in verbatim copies only, looks live if it has enough different characters. Base
+spans always stay; opaque spans are added where they look live and do not overlap a base span.
 
 Offsets are code points. They come from ``split``, which returns the gaps between the matches: the running sum of gaps
-and matches is where a match starts.
+and matches is where a match starts. It is taken over blocks of matches, so that a very long text of nothing but matches costs little more
+than its length.
 
-Defined results: a null text is empty and has no spans; repeated rows get the same spans; null sources are one owner;
-an empty table gives an empty result; extra columns are ignored.
+Defined results: a null text is empty and has no spans; repeated rows get the same spans; null sources are one owner; of spans that start at the same
+place, the kinds come in their listed order; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from premia.functions.skew import left_join
 from premia.llm.common import documents, text_of, with_row_id, written
 
 #: kind -> (pattern, group of the value, least length of that group). Fixed values; hex and access runs below the length
@@ -30,9 +32,41 @@ KINDS = {
     "opaque": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}", 0, 20),
 }
 BASE = ("assign", "access", "hex")
+#: Distinct owners that may hold a value in verbatim copies of one text before it counts as a copied example.
+MAX_OWNERS = 3
+#: Matches of a text that are located at a time.
+BLOCK = 512
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:binary,varied:int>>"  # sorts by start, then kind as listed
 
 
+def located(zipped: Column) -> Column:
+    """Start, end and value of every match, from the gaps and the matches behind them. An array that grows is copied at every step, so
+    it grows within a block only, and the blocks' own starts are summed before."""
+    plain = "array<struct<start:int,end:int,value:string>>"
+    size = lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["match"]), F.lit(0))
+    last = F.floor((F.size(zipped) - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(zipped, b * BLOCK + 1, F.lit(BLOCK)))
+    sums = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + size(x)))
+    none = F.array().cast("array<int>")
+    starts = F.aggregate(
+        sums, F.struct(F.lit(0).alias("at"), none.alias("all")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+    )["all"]
+
+    def step(acc, x):
+        begin = acc["at"] + F.length(x["gap"])
+        end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
+        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
+        more = F.when(x["match"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span)))
+        return F.struct(end.alias("at"), more.alias("spans"))
+
+    def inside(pair):
+        start = F.struct(pair["start"].alias("at"), F.array().cast(plain).alias("spans"))
+        return F.aggregate(pair["block"], start, step)["spans"]
+
+    return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), starts.alias("start")), inside))
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """All spans of one kind, in order. The expression is evaluated only for texts that have a match."""
     pattern, group, least = KINDS[kind]
@@ -40,18 +74,7 @@ def spans_of(text: Column, kind: str) -> Column:
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = matches if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     zipped = F.arrays_zip(gaps.alias("gap"), matches.alias("match"), values.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int,value:string>>").alias("spans"))
-    start = start.withField("spans", F.lit([]).cast("array<struct<start:int,end:int,value:string>>"))
-
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(
-            end.alias("at"), F.when(x["match"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans")
-        )
-
-    good = F.filter(F.aggregate(zipped, start, step)["spans"], lambda s: F.length(s["value"]) >= least)
+    good = F.filter(located(zipped), lambda s: F.length(s["value"]) >= least)
     out = F.transform(
         good,
         lambda s: F.struct(
@@ -70,7 +93,7 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, least_varied: int = 8) -> DataFrame:
+def scan(docs: DataFrame, least_varied: int = 8, max_owners: int = MAX_OWNERS) -> DataFrame:
     """One row per document: rid, doc_id, base spans, all spans, and how many base values look live or copied."""
     rows = with_row_id(docs.select("doc_id", "text", "source"), "rid").withColumn("text", text_of())
     text = F.col("text")
@@ -92,10 +115,11 @@ def scan(docs: DataFrame, least_varied: int = 8) -> DataFrame:
     # Distinct pairs first: a widely copied value reaches its final count as one row per owner and text.
     seen = each.select(value, "owner", "repository").distinct()
     per_owner = seen.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("texts"))
-    most = per_owner.groupBy("value").agg(F.max("texts").alias("texts"))
+    most = per_owner.groupBy("value").agg(F.max("texts").alias("texts"), F.count(F.lit(1)).alias("owners"))
     repositories = seen.select("value", "repository").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("repositories"))
-    live = most.join(repositories, "value").select("value", (F.col("texts") == F.col("repositories")).alias("rare"))
-    each = each.select("rid", value, "s").join(live, "value")
+    one_owner = (F.col("texts") == F.col("repositories")) & (F.col("owners") <= max_owners)
+    live = most.join(repositories, "value").select("value", one_owner.alias("rare"))
+    each = left_join(each.select("rid", value, "s"), live, "value")  # a value may be in very many texts
     looks_live = F.col("rare") & (F.col("s.varied") >= least_varied)
     is_base = F.col("s.rank") < len(BASE)
     added = each.groupBy("rid").agg(

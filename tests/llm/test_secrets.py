@@ -52,6 +52,34 @@ def test_one_owner_is_live_in_any_number_of_texts(spark, make, docs):
     assert all(r.n_live == 0 and r.n_copied == 1 and "opaque:" not in r.spans for i, r in got.items() if i >= 20)
 
 
+def test_owners_decide_about_verbatim_copies_too(spark, make, docs):
+    """One text under two, three and fifty owners: the last is a widely copied example."""
+    rows = []
+    for n, value in ((2, "Aq8Rw2Lm5Tn9Xc4Vb7Kd1"), (3, "Bq8Rw2Lm5Tn9Xc4Vb7Kd1"), (50, "Cq8Rw2Lm5Tn9Xc4Vb7Kd1")):
+        rows += [(n * 1000 + i, f"the same text of {n} password={value[:12]} and {value}", "en", f"s{i}") for i in range(n)]
+    got = {r.doc_id: r for r in secrets.scan(make(spark, rows)).collect()}
+    for n, live in ((2, 1), (3, 1), (50, 0)):
+        for i in range(n):
+            r = got[n * 1000 + i]
+            assert (r.n_live, r.n_copied, "opaque:" in r.spans) == (live, 1 - live, live == 1)
+
+
+def test_very_many_matches_in_one_text(spark, make, docs):
+    """More than a block of matches, and a text that is nothing but matches."""
+    text = "".join(f"é{i % 7 * 'x'} token=abc{i:05} " for i in range(3000)) + "0123456789abcdef" * 2
+    rows = [(1, text, "en", "a"), (2, " ".join("0123456789abcdef0123456789" for _ in range(20_000)), "en", "a"), (3, " token=abcdef" * 512, "en", "b")]
+    got = {r.doc_id: r for r in secrets.scan(make(spark, rows)).collect()}
+    for i, t, *_ in rows:
+        assert got[i].base_spans == brute(t)
+    assert (got[1].n_assign, got[2].n_hex, got[3].n_assign) == (3000, 20_000, 512)
+
+
+def test_spans_that_start_together_come_in_listed_order(spark, make, docs):
+    text = "secret=x token=0123456789abcdef0123456789abcdef"
+    (r,) = secrets.scan(make(spark, [(1, text, "en", "a"), (1, text, "en", "a")])).distinct().select("base_spans").distinct().collect()
+    assert r.base_spans == brute(text)
+
+
 def test_empty_table(empty):
     assert secrets.scan(empty).count() == 0
 
