@@ -7,8 +7,8 @@ document are ordered by a hash of the n-gram, so that they favour no language. A
 units, so a text is counted by one sort of its numbers, and nothing is kept between texts.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if nothing could be
-learned; rows with a null language are not learned from; repeated rows count each time and get equal results; an empty table gives
-an empty result; extra columns are ignored.
+learned; rows with a null language are not learned from; repeated rows count each time and get equal results; of languages equally near the
+first by name is predicted; very long texts are counted whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from premia.llm.common import documents, holdout, written
+from premia.llm.common import documents, holdout, with_row_id, written
 
 PLACES = 500
-#: Languages learned: the most frequent ones. The profiles, LANGUAGES * PLACES rows at most, go to every task.
+#: Up to so many languages the profiles, LANGUAGES * PLACES rows at most, go to every task; of more they are joined. The results are the same.
 LANGUAGES = 500
 LETTERS = regex.compile(r"\p{L}+")
 #: Characters of two units that are no letters.
@@ -124,23 +124,39 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def profiles(rows: DataFrame, places: int = PLACES, languages: int = LANGUAGES) -> dict:
-    """language -> its n-grams by rank, from labelled rows (lang, text)."""
+def ranked(rows: DataFrame, places: int = PLACES) -> DataFrame:
+    """lang, gram (its number), r (from 1): the most frequent n-grams of every language, from labelled rows (lang, text). A written table."""
     n = written(counted(rows), "grams")
-    top = n.groupBy("lang").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "lang").limit(languages).select("lang")
-    n = n.join(F.broadcast(top), "lang")  # at most ``languages`` rows
     order = [F.desc("n"), "gram"]
     # First the best of each of 32 parts of a language, then of those: no task sorts a whole language.
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(32))).orderBy(*order)
     best = n.withColumn("r", F.row_number().over(part)).filter(F.col("r") <= places)
     whole = Window.partitionBy("lang").orderBy(*order)
-    rows = best.withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= places).select("lang", "gram", "r").collect()
+    return written(best.withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= places).select("lang", "gram", "r"), "profiles")
+
+
+def collected(places: DataFrame) -> dict:
+    """language -> its n-grams by rank."""
     out: dict = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.r)):
+    for r in sorted(places.collect(), key=lambda r: (r.lang, r.r)):
         out.setdefault(r.lang, []).append(gram_of(r.gram))
     return out
 
 
+def profiles(rows: DataFrame, places: int = PLACES) -> dict:
+    """language -> its n-grams by rank, from labelled rows (lang, text)."""
+    return collected(ranked(rows, places))
+
+
+def first_places(text: str | None, places: int) -> np.ndarray:
+    """The numbers of a text's most frequent n-grams, by rank."""
+    found, n = np.unique(numbers(text or ""), return_counts=True)
+    if len(found) > places:  # only what can be among the first places is sorted
+        least = np.partition(n, -places)[-places]
+        found, n = found[n >= least], n[n >= least]
+    return found[np.lexsort((mixed(found), -n))][:places]
+
+
 class Matcher:
     def __init__(self, profiles_: dict):
         self.langs = sorted(profiles_)
@@ -153,13 +169,11 @@ class Matcher:
 
     def distances(self, text: str | None) -> np.ndarray | None:
         """Out-of-place distance to every language, as a share of the largest possible one."""
-        found, n = np.unique(numbers(text or ""), return_counts=True)
-        if not len(found) or not self.langs:
+        if not self.langs:
+            return None
+        found = first_places(text, self.places)
+        if not len(found):
             return None
-        if len(found) > self.places:  # only what can be among the first places is sorted
-            least = np.partition(n, -self.places)[-self.places]
-            found, n = found[n >= least], n[n >= least]
-        found = found[np.lexsort((mixed(found), -n))][: self.places]
         at = np.searchsorted(self.known, found)
         at[self.known[np.minimum(at, len(self.known) - 1)] != found] = len(self.known)  # the row of -1
         known = self.ranks[at]
@@ -193,11 +207,41 @@ def predicted(text, profiles_: dict):
     return of(text)
 
 
-def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
+def joined(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The same predictions for any number of languages: the documents' n-grams meet the table of the profiles in a join.
+
+    What a language gains by an n-gram is how much nearer than the penalty its place is; the distance is what it does not gain. So only n-grams of a profile make
+    rows. An n-gram that very many documents have is split by AQE, as both sides have a shuffle of their own.
+    """
+    size = places.agg(F.max("r").alias("r"), F.min("lang").alias("lang")).first()  # one row
+    width, least = size["r"], size["lang"]
+
+    @F.pandas_udf("array<long>")
+    def first(texts: pd.Series) -> pd.Series:
+        return pd.Series([first_places(t, width).view(np.int64) for t in texts], dtype=object)
+
+    rows = written(with_row_id(docs, "_rid").withColumn("_grams", first("text")), "first")
+    each = rows.select("_rid", F.posexplode("_grams").alias("_at", "gram")).withColumn("_hash", F.xxhash64("gram"))
+    met = each.join(places.withColumn("_hash", F.xxhash64("gram")), ["gram", "_hash"])
+    gains = met.groupBy("_rid", "lang").agg(F.sum(width - F.abs(F.col("r") - 1 - F.col("_at"))).alias("gain"))
+    best = gains.groupBy("_rid").agg(F.min(F.struct(-F.col("gain"), "lang")).alias("best"), F.sum("gain").alias("all"))
+    found = rows.join(best.select("_rid", (-F.col("best.col1")).alias("_gain"), F.col("best.lang").alias("_lang"), F.col("all").alias("_all")), "_rid", "left")
+    letters = F.size("_grams") > 0
+    return found.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.when(letters, F.coalesce("_lang", F.lit(least))).otherwise("und").alias("lang_pred"),
+        F.when(letters, F.coalesce(F.try_divide("_gain", "_all"), F.lit(0.0))).otherwise(0.0).alias("score"),
+    )
+
+
+def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2, languages: int = LANGUAGES) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; learned from labelled rows that are not held out."""
     held = holdout("doc_id", modulus, remainder)
-    learned = profiles(docs.filter(~held & F.col("lang").isNotNull()).select("lang", "text"))
-    rows = docs.select("doc_id", held.alias("held_out"), predicted(F.col("text"), learned).alias("p"))
+    places = ranked(docs.filter(~held & F.col("lang").isNotNull()).select("lang", "text"))
+    rows = docs.select("doc_id", held.alias("held_out"), "text")
+    if places.select("lang").distinct().count() > languages:
+        return joined(rows, places).drop("text")
+    rows = rows.select("doc_id", "held_out", predicted(F.col("text"), collected(places)).alias("p"))
     return rows.select("doc_id", "held_out", "p.*")
 
 

@@ -85,3 +85,37 @@ def test_counts(spark, docs):
         for w in text.split():
             want.update((lang, g) for g in langid.grams(w))
     assert {(r.lang, langid.gram_of(r.gram)): r.n for r in whole} == want
+
+
+def by_row(df):
+    return sorted((repr((r.doc_id, r.held_out, r.lang_pred)), round(r.score, 9)) for r in df.collect())
+
+
+def test_joined_profiles_give_the_same_as_broadcast_ones(spark, make, docs, corpus):
+    """The corpus with its long texts, nulls, repeated rows and clashing names, and languages that are told apart."""
+    rng = random.Random(6)
+    rows = corpus + [(2000 + i, prose(lang := rng.choice(list(ALPHABETS)), rng.randint(1, 60), rng), lang, "s") for i in range(200)]
+    rows += [(3000, "漢字", None, "s"), (3001, "12", "aa", "s")]
+    few = by_row(langid.identify(make(spark, rows)))
+    assert len(few) == len(rows) and by_row(langid.identify(make(spark, rows), languages=1)) == few
+
+
+def test_more_languages_than_are_broadcast(spark, make, docs, monkeypatch):
+    """Every language is learned, also the least frequent ones."""
+    monkeypatch.setattr(langid, "LANGUAGES", 20)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+    of = lambda i: letters[i * 5 : i * 5 + 5]
+    rng = random.Random(7)
+    rows = [(i * 60 + j, " ".join("".join(rng.choice(of(i)) for _ in range(4)) for _ in range(20 if i < 30 else 3)), f"l{i:02}", "s") for i in range(60) for j in range(8)]
+    got = langid.identify(make(spark, rows), languages=langid.LANGUAGES).collect()
+    truth = {i: lang for i, _, lang, _ in rows}
+    assert all(r.lang_pred == truth[r.doc_id] for r in got) and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("languages", [500, 1])
+def test_languages_equally_near_go_by_name(spark, make, docs, languages):
+    same = "gleich gleich text text"
+    rows = [(i, same, lang, "s") for i, lang in enumerate(["zz", "mm", "aa"] * 20)] + [(900, same, None, "s"), (901, "漢", None, "s")]
+    got = {r.doc_id: r for r in langid.identify(make(spark, rows), languages=languages).collect()}
+    assert got[900].lang_pred == "aa" and abs(got[900].score - 1 / 3) < 1e-9
+    assert got[901].lang_pred == "aa" and got[901].score == 0.0
