@@ -1,14 +1,15 @@
 """Toxicity: a learned lexicon met with spelling errors, hits weighed by their context.
 
-Training draws a bounded sample of labelled documents by a hash of doc_id, counts in how many toxic and clean ones each
-word occurs, and keeps as lexicon the words that are much likelier in toxic texts. Words run through the Levenshtein
+Training draws a bounded sample of labelled documents by a hash of doc_id, counts in how many families of toxic and of clean ones (near
+copies share a family) each word occurs, and keeps as lexicon the words that are much likelier in toxic texts. Words run through the Levenshtein
 automata of the lexicon's trie, so misspelled terms are hits as well; a neighbour that clean texts use often is
 an ordinary word and none. Every hit has a context score from the words around it: quotation (quotation marks
 around it, reporting verbs near it) against address (second person near it). A logistic model of the hits, exact and
 misspelled, quoted and direct, gives the score.
 
 Defined results: a null or empty text gets the score of a text without hits; with no labelled toxic or no clean row,
-scores are those of the prior weights, 0 hits giving a score below 0.5; repeated rows get equal scores; an empty table gives an empty
+scores are those of the prior weights, 0 hits giving a score below 0.5; repeated rows get equal scores; of labelled rows that share a doc_id one
+text, the greatest, is learned from; of terms equally near to a word the first in the trie counts; very long texts are read whole; an empty table gives an empty
 result; extra columns are ignored.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections import Counter
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +31,7 @@ from premia.llm.levenshtein import Automaton, Trie
 
 #: Labelled rows of either label that are learned from, at most.
 SAMPLE = 20_000
-#: A term occurs in so many toxic texts of the sample, however large it is, and is so many times likelier in toxic than in clean ones.
+#: A term occurs in so many families of toxic texts of the sample, however large it is, and is so many times likelier in toxic than in clean ones.
 SUPPORT, RATIO = 5, 20.0
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}@$*]+|[\"'“”„«»‘’]")
 QUOTES = set("\"'“”„«»‘’")
@@ -135,14 +136,28 @@ def _lexicon(data: bytes) -> Lexicon:
     return Lexicon(*pickle.loads(data))
 
 
+def family(text: str | None) -> int:
+    """Texts that share most of their five-word shingles mostly share the least hash of them."""
+    words = (text or "").lower().split()
+    return min((zlib.crc32(" ".join(words[i : i + 5]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - 4))), default=0)
+
+
 def sampled(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, text, toxic) of a bounded sample of the labelled rows that are not held out, each label alike."""
+    """(doc_id, text, toxic, family) of a bounded sample of the labelled rows that are not held out, each label alike."""
     rows = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # a repeated label counts once
     rows = rows.filter(F.col("doc_id").isNotNull() & ~held)
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
     few = [rows.filter(F.col("toxic") == v).orderBy("h", "doc_id").limit(sample) for v in (0, 1)]
     ids = written(few[0].unionByName(few[1]).select("doc_id", "toxic"), "sample")
-    return written(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "sampled")  # 2 * sample rows at most
+    # A labelled doc_id may stand for many rows: one text of each is learned from, so that the sample is 2 * sample rows at most.
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    found = found.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+
+    @F.pandas_udf("long")
+    def families(texts: pd.Series) -> pd.Series:
+        return texts.map(family).astype("int64")
+
+    return written(found.withColumn("family", families("text")), "sampled")
 
 
 def words_of(text: str | None) -> set:
@@ -151,24 +166,21 @@ def words_of(text: str | None) -> set:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """word, toxic and clean: in how many texts of either label. Every batch adds its own first."""
+    """word, toxic and clean: in how many families of texts of either label. Near copies are one family, or few, however many they are."""
 
     def count(batches):
         for batch in batches:
-            seen = {0: Counter(), 1: Counter()}
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[int(toxic)].update(words_of(text))
-            words = list(seen[0] | seen[1])
-            yield pd.DataFrame({"word": words, "toxic": [seen[1][w] for w in words], "clean": [seen[0][w] for w in words]})
+            seen = {(w, int(t), f) for text, t, f in zip(batch["text"], batch["toxic"], batch["family"]) for w in words_of(text)}
+            yield pd.DataFrame(list(seen), columns=["word", "toxic", "family"])
 
-    out = rows.select("text", "toxic").mapInPandas(count, "word string, toxic long, clean long")
-    return out.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    out = rows.select("text", "toxic", "family").mapInPandas(count, "word string, toxic int, family long").distinct()
+    return out.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, held, sample: int = SAMPLE) -> tuple:
     """(pickled lexicon, weights)."""
     rows = sampled(docs, labels, held, sample)
-    n = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    n = {r.toxic: r["count"] for r in rows.select("toxic", "family").distinct().groupBy("toxic").count().collect()}
     words = written(word_counts(rows), "words")
     rate = (F.col("toxic") / max(1, n.get(1, 0))) / ((F.col("clean") + 0.5) / max(1, n.get(0, 0)))
     # Alone the words of one label say nothing.
