@@ -2,14 +2,14 @@
 
 Every document is measured once. The measures are counted into sketches per language and source: histograms with one
 bucket per whole number up to 1,024 and 64 buckets per power of two beyond, so a sketch has a bounded size, an error of
-at most 1/64, and two sketches are merged by adding their counts, in any order. Sketches of a small group are
-replaced by the merged sketch of its language, those of a small language by that of the whole table. A threshold lies a
+at most 1/64, and two sketches are merged by adding their counts, in any order. A group's quartiles are drawn towards those of
+the merged sketch of its language, and these towards the whole table's, the more the fewer rows there are. A threshold lies a
 multiple of the distance between the quartiles beyond the outer one, wherever that is; a least distance keeps ordinary text
 where a group hardly varies. At most a quarter of a group is beyond a threshold. The documents are then joined with the
 thresholds of their group.
 
 Defined results: a null text has no words and fails the base rule; null languages and sources form groups of their own;
-repeated rows are judged alike; an empty table gives an empty result; extra columns are ignored or passed on.
+repeated rows are judged alike; a value that equals its threshold passes; very long texts are measured whole; an empty table gives an empty result; extra columns are ignored or passed on.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ SIDES = {"symbols": (False, True), "dup_lines": (False, True), "repeats": (False
 FLOORS = {"symbols": 10, "dup_lines": 115, "repeats": 100, "word_length": 40}
 #: A threshold is so many times that distance beyond the quartile.
 SPREADS = 3
-SMALL = 200
+#: Rows at which a group's own quartiles weigh as much as those of its language, and a language's as much as the whole table's.
+SMALL = 100
 
 
 def repeated_words(words: list) -> int:
@@ -109,7 +110,7 @@ def merged(sketch: DataFrame, keys: list) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, keys: list) -> DataFrame:
-    """One row per group and measure: total, q10, q50, q90, as lower ends of buckets."""
+    """One row per group and measure: total and quantiles, as lower ends of buckets."""
     group = Window.partitionBy(*keys, "measure")
     run = sketch.select(
         "*",
@@ -137,7 +138,12 @@ def thresholds(measured: DataFrame, small: int = SMALL, spreads: int = SPREADS)
         .join(lang, F.expr("g.lang <=> l.lang AND g.measure = l.measure"), "left")
         .join(whole, F.expr("g.measure = w.measure"), "left")
     )
-    pick = {q: F.expr(f"CASE WHEN o.total >= {small} THEN o.{q} WHEN l.total >= {small} THEN l.{q} ELSE w.{q} END") for q in ("q25", "q75")}
+    def shrunk(q, own, parent):
+        """From a group towards what it is part of: few rows hardly count, as junk may be most of them, many do in full, and no number is a step."""
+        weight = 1 / (1 + F.pow(small / F.col(f"{own}.total"), 3))
+        return weight * F.col(f"{own}.{q}") + (1 - weight) * parent
+
+    pick = {q: shrunk(q, "o", shrunk(q, "l", F.col(f"w.{q}"))) for q in ("q25", "q75")}
     picked = joined.select(F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), F.col("g.measure").alias("measure"), *[c.alias(k) for k, c in pick.items()])
     out = []
     for name, (lower, upper) in SIDES.items():

@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from premia.llm import quality
 
 
@@ -65,10 +67,33 @@ def test_quantiles_of_merged_sketches(spark):
 
 
 def test_buckets_beyond_whole_numbers(spark):
-    from pyspark.sql import functions as F
-
     values = spark.createDataFrame([(v,) for v in (1023, 1024, 1039, 1040, 5000, 10**9)], "v long").select("v", quality._bucket(F.col("v")).alias("bucket"))
     got = values.select("v", F.lit("m").alias("measure"), F.lit(1).alias("n"), "bucket")
     for r in got.collect():
         one = quality.quantiles(got.filter(F.col("v") == r.v).drop("v"), []).first()
         assert one.q50 <= r.v < one.q50 * (1 + 1 / 64) + 1
+
+
+def groups(spark, sizes):
+    """Measured rows of one language: source by source, so many rows with symbols of a typical share."""
+    rows = [("en", s, 100, 1000, share + i % 5, 0, 0, 10) for s, (n, share) in sizes.items() for i in range(n)]
+    names = "lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    return spark.createDataFrame(rows, names)
+
+
+def test_no_number_of_rows_is_a_step(spark, docs):
+    """A row more moves a threshold little, at any size of the group."""
+    limit = {}
+    for n in (1, 2, 10, 50, 51, 199, 200, 201, 1000):
+        limits = quality.thresholds(groups(spark, {"a": (3000, 5), "b": (n, 200)})).collect()
+        limit[n] = {r.source: r.symbols_max for r in limits}["b"]
+    assert all(limit[a] < limit[b] for a, b in zip(list(limit), list(limit)[1:]))  # towards the group's own
+    assert limit[201] - limit[200] < 1 and limit[200] - limit[199] < 1 and limit[51] - limit[50] < 2
+    assert limit[1] < 60 and limit[1000] > 225
+
+
+def test_a_value_at_its_threshold_passes(spark, docs):
+    measured = groups(spark, {"a": (400, 50)})
+    limits = quality.thresholds(measured).withColumn("symbols_max", F.lit(52.0))
+    kept = {r.n_symbols: r.kept for r in quality.judged(measured, limits).collect()}
+    assert kept == {50: True, 51: True, 52: True, 53: False, 54: False}
