@@ -35,8 +35,6 @@ SEED = 42
 BUCKET = 4096
 #: Most shingles of the nodes that one task checks against each other as a whole. A parameter of memory only.
 HELD = 4_000_000
-#: Up to so many nodes, all pairs are checked without a look at their fingerprints.
-FEW = 32
 #: Bytes of a node that are fingerprint; what follows only names it.
 PRINT = 32
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -329,8 +327,7 @@ def _check(similarity: float, radius: int, rows: int = 10_000):
     def agreeing(nodes, sets):
         agree = lambda i, j: alike(sets[i], sets[j], similarity)
         values = np.frombuffer(b"".join(nodes), np.uint8).reshape(len(nodes), -1)[:, :PRINT]
-        bits = 8 * PRINT if len(nodes) <= FEW else radius
-        return [(nodes[a], nodes[b]) for a, b in links(values, np.full(len(nodes), len(nodes)), bits, agree)]
+        return [(nodes[a], nodes[b]) for a, b in links(values, np.full(len(nodes), len(nodes)), radius, agree)]
 
     def run(batches):
         key, nodes, sets, out = None, [], [], []
