@@ -68,7 +68,8 @@ def copies(rows: DataFrame, min_chars: int, min_documents: int) -> DataFrame:
     """Locator and position of every line to drop."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     newest = [F.col(c).desc_nulls_last() for c in ("doc_id", *LOCATOR)]
-    ordered = line_rows(rows, min_chars).repartitionByRange(parts, "hash", "salt")
+    each = written(line_rows(rows, min_chars), "lines")  # else the texts are read twice: the bounds of the ranges come from a pass of their own
+    ordered = each.repartitionByRange(parts, "hash", "salt")
     ordered = ordered.sortWithinPartitions("hash", "salt", *newest, "position")
     run = ordered.withColumn("nth", F.dense_rank().over(Window.partitionBy("hash", "salt").orderBy(*newest)))
     sure = run.filter(F.col("nth") > min_documents)
