@@ -9,7 +9,8 @@ number of bytes. States and moves are made when first met and kept in a table of
 Decoding compiles every token into a move of the UTF-8 machine, so a stream of ids is cut into valid text at any point.
 
 Defined results: a null text is empty and has no ids; repeated rows get equal ids; ids that are no token raise an
-error; bytes that are no UTF-8 decode to the same bytes, with valid = false; an empty table gives an empty result;
+error; bytes that are no UTF-8 decode to the same bytes, with valid = false; of merges of equal rank the leftmost goes first; very long texts
+are encoded whole, piece by piece; an empty table gives an empty result;
 extra columns are passed on or ignored.
 """
 

@@ -8,7 +8,8 @@ shuffle, so a text that a third of all rows share arrives as one row per task. S
 their rows get their classes from the texts.
 
 Defined results: a null text equals the empty text; of rows with equal doc_id and text, the one with the greatest
-locator stays; a null doc_id is below all others; an empty table gives an empty result; extra columns are ignored.
+locator stays; a null doc_id is below all others; very long texts are
+digested and compared whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ undecided documents of each block meet in the blocks of the next level, until on
 two documents are the landing problem: the combination nearest to the target wins.
 
 Defined results: a null text has size 0; a null source is a source of its own, the last in order; null and repeated
-doc_ids are rows like any other; an empty table gives an empty result; extra columns are ignored.
+doc_ids are rows like any other; of landings equally near to the target the first wins, not taking before taking; very long texts are counted
+whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ with partial counts before the shuffle. Coverage comes back to the documents as
 Hashes decide equality of whole cells (64 bits for the key's bytes, 64 for the whole); the suffix array compares bytes.
 
 Defined results: a null text is empty; texts below ``LENGTH`` bytes lose nothing; repeated rows, also of equal doc_id, repeat each other;
-an empty table gives an empty result; extra columns are ignored.
+no string counts more than another, so there are no ties; very long texts are cut into windows whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ and every two chunks meet in a task of their own: no pair is lost and no task ta
 return a spanning forest of the links they find; components come from joins.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; null doc_ids are below
-no other (they never name a component); repeated rows share their fingerprint; an empty table gives an empty
+no other (they never name a component); repeated rows share their fingerprint; a bit set in exactly half of the hashes is 0; very long texts
+are read whole; an empty table gives an empty
 result; extra columns are ignored.
 """
 

@@ -6,7 +6,8 @@ about ``BLOCK`` ids, a payload of bits, and the bit offset of every 128th id. Th
 store that Spark writes to will do: ``codebook`` (id, n, length) and ``blocks``. Reading needs nothing else: the codes follow
 from the lengths, each block is decoded alone, and where a shard starts follows from the sums of the shards before it.
 
-Defined results: a null or empty text has the end id alone; null doc_ids come first; rows of equal doc_id are ordered by a digest of their ids; an empty
+Defined results: a null or empty text has the end id alone; null doc_ids come first; rows of equal doc_id are ordered by a digest of their ids; ids of equal count
+are ordered by id before they get their codes; very long texts are encoded whole and make a block of their own; an empty
 table gives empty files and an empty result; extra columns are ignored.
 """
 
