@@ -9,4 +9,4 @@ from premia.functions.columns import (  # noqa: F401
     ratio_pct,
 )
 from premia.functions.quantile import exact_quantile  # noqa: F401
-from premia.functions.skew import left_join  # noqa: F401
+from premia.functions.skew import left_join, slice_of  # noqa: F401

@@ -117,3 +117,26 @@ def test_score(frame):
     df = frame([(1, 1, 1, 1, 1), (0, 0, 0, 0, 0), (0, 1, 0, 0, 1)], ", ".join(f"{f} int" for f in FLAGS))
     got = rows(fraud.fraud_score(df).select("fraud_score", "fraud_flags", "is_fraud_suspected"), "fraud_score")
     assert got == [(0, [], False), (40, ["RULE_002", "RULE_005"], True), (100, list(FLAGS.values()), True)]
+
+
+def test_visits_are_flagged_by_one_join(frame, spark):
+    """Both rules of neighbours from the same visits, claims without product and repeated claims included; only the visits meet the claims again."""
+    rng = random.Random(7)
+    address = {f"k{i}": "HOT" if i < 3 else rng.choice(["A", "B", None]) for i in range(9)}
+    claims = [
+        (
+            i, None if rng.random() < 0.05 else f"k{rng.randrange(9)}", rng.choice(["auto", "vie", "", None]),
+            None if rng.random() < 0.05 else D(2020, 1, 1) + timedelta(rng.randrange(1200)),
+        )
+        for i in range(300)
+    ]
+    df = frame([*claims, claims[0]], "claim_id int, client_id string, produit string, date_sinistre date")
+    clients = frame(list(address.items()), "client_id string, adresse string")
+    cfg = fraud.FraudSettings(frequent_claimant_count=8)
+    got = fraud.flag_neighbours(df, clients, cfg)
+    apart = fraud.flag_cluster(fraud.flag_frequent(df, 8, cfg.frequent_claimant_window), clients, cfg.address_cluster_days)
+    flags = [*df.columns, "flag_frequent_claimant", "flag_address_cluster"]
+    assert rows(got.select(flags)) == rows(apart.select(flags)) and 0 < got.agg(F.sum("flag_frequent_claimant")).first()[0] < 301
+    plan = fraud.flag_high_amount(got.withColumn("montant_declare", F.lit(1.0)))._jdf.queryExecution().optimizedPlan().toString()
+    # the visits meet the claims once; the statistics of the products are broadcast
+    assert plan.count("_claims#") and "strategy=broadcast" in plan
