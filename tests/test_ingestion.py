@@ -177,3 +177,17 @@ def test_staged_split_is_one_table(spark, tmp_path):
     assert sinks.staged(marked, f"{tmp_path}/s", "rejected").count() == 4
     sinks.clear(spark, f"{tmp_path}/s")
     assert sinks.staged(marked, f"{tmp_path}/s", "valid").count() == 0
+
+
+def test_fields_are_taken_once_and_only_odd_objects_are_listed(spark, tmp_path):
+    """Fields come out of one pass over an object, and the entries of an object are listed only where a key or a type is odd; text that looks like an object stays text."""
+    lines = ['{"policy_id":"{1","client_id":"[x"}', '{"policy_id":{"a":1},"garanties":[{"code":"c"},3,{"plafond":"x"}],"autre":[1]}', '{"policy_id":"2"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_path}/p")
+    df = readers.read_objects(spark, f"{tmp_path}/p")
+    got = {r["policy_id"]: r for r in df.collect()}
+    assert got["{1"]["client_id"] == "[x" and got["{1"]["_rescued"] is None and got["2"]["_type_conflicts"] == []
+    odd = got[None]
+    assert odd["_type_conflicts"] == ["policy_id", "garanties[1]", "garanties[2].plafond"] and set(json.loads(odd["_rescued"])) == {"policy_id", "garanties", "autre"}
+    assert [g["code"] for g in odd["garanties"]] == ["c", None]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.policy_id" not in plan
