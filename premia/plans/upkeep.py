@@ -165,15 +165,27 @@ def erase_clients(spark: SparkSession, lake: Lake, clients: DataFrame) -> dict[s
 # Corrections ---------------------------------------------------------------------------------------
 
 
+def unsettled(current: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Keys of the corrections whose rows in the table are not yet the one row that is to stay."""
+    held = current.join(changes.select(*keys).distinct(), list(keys), "left_semi").select(*changes.columns, F.lit(True).alias("_held"))
+    row = F.struct(*order_by, *[c for c in changes.columns if c not in (*keys, *order_by)])
+    versions = held.unionByName(changes.withColumn("_held", F.lit(False)))
+    of_key = versions.groupBy(*keys).agg(F.max(row).alias("_stays"), F.max(F.when(F.col("_held"), row)).alias("_is"), F.count_if("_held").alias("_rows"))
+    return of_key.filter((F.col("_rows") != 1) | ~F.col("_stays").eqNullSafe(F.col("_is"))).select(*keys)
+
+
 def correct(spark: SparkSession, lake: Lake, table: Table, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> int:
     """Apply corrections (rows with the table's columns): of each key the latest version stays. Partitions rewritten.
 
     Rewritten are the partitions that hold a corrected key or receive one; a correction may move its row to another partition. In those, rows of other
-    keys pass without a shuffle where the corrections are small. A second run changes nothing.
+    keys pass without a shuffle where the corrections are small. A key whose one row is what the corrections make of it is left alone, so that a second run
+    rewrites nothing.
     """
     current = table.read(spark, lake)
     changes = changes.select(*current.columns)
-    corrected = changes.select(*keys).distinct()
+    corrected = unsettled(current, changes, keys, order_by)
+    due = corrected.select(*[F.col(k).alias(f"_due_{k}") for k in keys])
+    changes = changes.join(due, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_due_{k}")) for k in keys]), "left_semi")
     names = list(table.partition_by)
     chosen = []
     if names:

@@ -4,6 +4,7 @@ from datetime import date as D
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from premia.operators import clean
 from premia.plans import medallion, upkeep
 from premia.sources import sinks
@@ -133,3 +134,17 @@ def test_periods():
     assert upkeep.period(("2023", "2023-Q4", "auto"), quarters) == (D(2023, 10, 1), D(2024, 1, 1))
     assert upkeep.period(("2023", None), months) == (D(2023, 1, 1), D(2024, 1, 1))
     assert upkeep.period((None, "03"), months) is None and upkeep.period(("x", "03"), months) is None
+
+
+def test_a_repeated_correction_rewrites_nothing(spark, tmp_path):
+    lake = medallion.Lake(str(tmp_path), NOW, "b1")
+    schema = "k int, v string, day date, y string"
+    rows = [(1, "a", D(2024, 1, 1), "2024"), (2, "b", D(2023, 1, 1), "2023"), (2, "b", D(2023, 1, 1), "2023"), (3, None, D(2024, 1, 1), "2024")]
+    lake.write(spark.createDataFrame(rows, schema), "silver", "t", ("y",))
+    table = upkeep.Table("silver", "t", ("y",))
+    changes = spark.createDataFrame([(1, "z", D(2024, 2, 1), "2024"), (2, "b", D(2023, 1, 1), "2023")], schema)
+    assert upkeep.correct(spark, lake, table, changes, ["k"], ["day"]) == 2  # a repeated row is not settled
+    files = sorted(table.read(spark, lake).inputFiles())
+    assert upkeep.correct(spark, lake, table, changes, ["k"], ["day"]) == 0
+    assert sorted(table.read(spark, lake).inputFiles()) == files
+    assert sorted(tuple(r) for r in table.read(spark, lake).select("k", F.coalesce("v", F.lit("-"))).collect()) == [(1, "z"), (2, "b"), (3, "-")]
