@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from premia.operators import validate
 from premia.operators.validate import SchemaError
 from premia.plans import medallion
 from premia.sources import readers, sinks
@@ -191,3 +192,30 @@ def test_fields_are_taken_once_and_only_odd_objects_are_listed(spark, tmp_path):
     assert [g["code"] for g in odd["garanties"]] == ["c", None]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "$.policy_id" not in plan
+
+
+def test_objects_are_typed_in_one_pass(spark, tmp_path):
+    """Texts that look like objects stay, objects do not become texts, and an element that does not fit is named; each column is taken with the others."""
+    lines = [
+        {"policy_id": "{1", "statut": {"a": 1}, "prime_annuelle": "12.5", "garanties": [{"code": "[x", "plafond": "3"}]},
+        {"policy_id": "b", "franchise": "n/a", "garanties": [{"code": {"z": 1}, "plafond": 2}, None, 5]},
+        {"policy_id": 7, "garanties": "none"},
+    ]
+    (tmp_path / "p.jsonl").write_text("\n".join(map(json.dumps, lines)), encoding="utf-8")
+    read = readers.read_objects(spark, str(tmp_path / "p.jsonl"))
+    got = {r.policy_id: r for r in read.collect()}
+    assert got["{1"].statut is None and got["{1"].prime_annuelle == 12.5 and got["{1"]._type_conflicts == ["statut"]
+    assert [(g.code, g.plafond) for g in got["{1"].garanties] == [("[x", 3.0)]
+    assert got["b"]._type_conflicts == ["franchise", "garanties[0].code", "garanties[1]", "garanties[2]"]
+    assert [(g.code, g.plafond) for g in got["b"].garanties] == [(None, 2.0)]
+    assert got["7"]._type_conflicts == ["garanties"] and got["7"].garanties is None
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("DoubleType, false") <= 1  # the fields of an array whose elements do not all fit; no column by itself
+
+
+def test_rows_without_a_broken_rule(frame):
+    """An empty list, not null, and of the same type as any other."""
+    rules = validate.RowRules(("a",), {"b": ("x",)}, ("n",))
+    df = validate.mark_rows(frame([("1", "x", 1.0), (None, "y", None), ("2", None, float("nan"))], "a string, b string, n double"), rules)
+    assert [r._rejection_rules for r in df.collect()] == [[], ["a_missing", "b_not_allowed", "n_not_positive"], ["b_not_allowed", "n_not_positive"]]
+    assert not df.schema["_rejection_rules"].dataType.containsNull

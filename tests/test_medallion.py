@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.operators import expectations
+from premia.operators.enrich import one_policy_per_id
 from premia.plans import medallion
 from premia.sources import readers, sinks
 from tests.conftest import rows
@@ -151,3 +152,19 @@ def test_suites_on_the_lake(spark, run):
     silver = expectations.silver_suite(lake.read(spark, "silver", "claims"), t["policies"], t["clients"], t["portfolio_kpis"], F.lit(NOW.date()))
     got = {r["check"]: r["passed"] for r in silver.collect()}
     assert got["claims.unique_claim_id"] and not got["claims.policy_fk"] and not got["kpis.has_values_produit"]
+
+
+def test_gold_reads_the_columns_of_policies_it_needs(spark, run, monkeypatch):
+    """What decides between the coverages of a policy keeps Spark from leaving out columns by itself."""
+    lake, _ = run
+    plans = []
+    monkeypatch.setattr(medallion.Lake, "write", lambda self, df, *a, **k: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or 0)
+    medallion.silver_to_gold(spark, lake)
+    medallion.portfolio_exposure(spark, lake)
+    assert len(plans) == 4
+    for plan in plans:
+        assert "garantie_code#" in plan and "garantie_libelle#" not in plan.split("Aggregate")[-1].split("Relation")[0]
+    kept = lake.read(spark, "silver", "policies")
+    for needed, wanted in ((medallion.PREMIUM, ("prime_annuelle", "date_souscription")), (medallion.EXPOSED, ("statut", "plafond_garantie"))):
+        few, whole = (rows(one_policy_per_id(df).select("policy_id", *wanted)) for df in (kept.select(*needed), kept))
+        assert few == whole
