@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ("ingestion_timestamp",)
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ("ingestion_timestamp",), wanted: Sequence[str] | None = None
 ) -> DataFrame:
-    """Keep the row with the greatest ``order_by``; ties go to the greatest row in column order.
+    """Keep the row with the greatest ``order_by``; ties go to the greatest row in column order. Give the columns that are
+    ``wanted``, and none behind the last of them in that order is read: it only tells rows apart that are equal in all wanted ones.
 
     Written as an aggregate and not as ``row_number() = 1``: it combines map-side, so a key with very
     many copies sends one row per task, and Catalyst knows that the keys are unique afterwards, so a left
     join to the result is dropped where no column of it is used.
     """
     rest = [c for c in df.columns if c not in (*keys, *order_by)]
+    if wanted is not None:
+        while rest and rest[-1] not in wanted:
+            rest.pop()
+        df = df.select(*[c for c in df.columns if c in (*keys, *order_by, *rest)])
     if not order_by and not rest:
         return df.distinct()
     best = df.groupBy(*keys).agg(F.max(F.struct(*order_by, *rest)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+    return best.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns if wanted is None or c in (*keys, *wanted)])
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Two rules look at the neighbours of a claim: earlier claims of the same client, and claims at the same
 address. Instead of joining claims with claims, both first count the claims per visit (client, day and product), combined map-side, sum these
-counts over the days around by running sums, and join the few visits that matter back. A client or address with very many claims still has at most one
-row per day and product in its window, and a running sum costs the same whatever the number of claims or products around.
+counts over the days around by running sums, and join the few visits that matter back. A client with very many claims still has at most one
+row per day and product in its window, and a running sum costs the same whatever the number of claims or products around. As a client has one address, visits
+are dealt by address once for the sums of both rules; those of an address with very many clients are counted per day and product first.
 """
 
 from __future__ import annotations
@@ -101,14 +102,24 @@ def _around(value: str, before: int, after: int, *keys: str) -> Column:
     return upto - F.coalesce(past, F.lit(0))
 
 
-def located_visits(claims: DataFrame, clients: DataFrame) -> DataFrame:
-    """One row per client, day and product with a claim, with its claims, ``_one`` (1 if the product is known, else 0), and the client's address, if any."""
+#: Clients of an address up to which all its visits are summed in one task.
+CROWD = 1000
+
+
+def located_visits(claims: DataFrame, clients: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """One row per client, day and product with a claim, with its claims, ``_one`` (1 if the product is known, else 0), ``adresse``, the first client of the
+    client's address (itself without one), which is shorter than the address and as good to tell addresses apart, and ``_crowded`` for an address of more
+    than ``crowd`` clients."""
     known = F.col("client_id").isNotNull() & F.col("date_sinistre").isNotNull()
     visits = claims.filter(known).groupBy(*VISIT).agg(F.count("*").alias("_claims"))
-    addresses = one_per_key(clients.select("client_id", "adresse"), ["client_id"])
+    homes = one_per_key(clients.select("client_id", "adresse").filter(F.col("client_id").isNotNull()), ["client_id"])
+    at = Window.partitionBy("adresse", F.when(F.col("adresse").isNull(), F.col("client_id")))
+    first, crowded = F.min("client_id").over(at), F.count("*").over(at) > crowd
+    homes = homes.select("client_id", first.alias("adresse"), crowded.alias("_crowded"))
     # Made from the number of claims after the join, so that all readers of the visits need the same columns and share their shuffles.
     one = F.when(F.col("produit").isNotNull(), F.least("_claims", F.lit(1))).otherwise(F.lit(0))
-    return visits.join(addresses, "client_id", "left").withColumn("_one", one)
+    located = visits.join(homes, "client_id", "left").withColumn("_one", one)
+    return located.withColumns({"adresse": F.coalesce("adresse", "client_id"), "_crowded": F.coalesce("_crowded", F.lit(False))})
 
 
 def address_neighbours(located: DataFrame, days: int = 30) -> DataFrame:
@@ -124,13 +135,31 @@ def address_neighbours(located: DataFrame, days: int = 30) -> DataFrame:
     return of_product.select("adresse", "produit", "date_sinistre", others.alias("others")).filter(F.col("others") > 0)
 
 
-def clustered(located: DataFrame, days: int = 30) -> DataFrame:
-    """Visits with ``_clustered``: whether the address has more visits for other products around the visit than its own client has. By counts, no visit
-    meets another."""
+def _recent(cfg: FraudSettings | None, *keys: str) -> dict[str, Column]:
+    """Whether the client has enough claims in the look-back window, if that is asked for."""
+    if cfg is None:
+        return {}
+    return {"_busy": _around("_claims", cfg.frequent_claimant_window, 0, *keys) >= cfg.frequent_claimant_count}
+
+
+def clustered(located: DataFrame, days: int = 30, cfg: FraudSettings | None = None) -> DataFrame:
+    """Visits with ``_clustered``: whether the address has more visits for other products around the visit than its own client has, and with ``cfg`` also
+    ``_busy``. By counts, no visit meets another. All visits of an address are summed where they were dealt to; a crowded one has another way."""
+    client, address = ("adresse", "client_id"), ("adresse",)  # a client has one address
+    own = _around("_one", days, days, *client) - _around("_one", days, days, *client, "produit")
+    others = _around("_one", days, days, *address) - _around("_one", days, days, *address, "produit")
+    dealt = located.filter(~F.col("_crowded")).drop("_crowded").repartition("adresse")
+    met = dealt.withColumns({"_own": own, "_others": others, **_recent(cfg, *client)})
+    alone = met.withColumn("_clustered", F.col("produit").isNotNull() & (F.col("_others") > F.col("_own"))).drop("_own", "_others")
+    return alone.unionByName(clustered_in_crowds(located.filter("_crowded").drop("_crowded"), days, cfg))
+
+
+def clustered_in_crowds(located: DataFrame, days: int, cfg: FraudSettings | None) -> DataFrame:
+    """As ``clustered``, for visits of addresses with very many clients: a client's visits are summed by client, those of the address per day and product."""
     own = _around("_one", days, days, "client_id") - _around("_one", days, days, "client_id", "produit")
-    # Visits without an address match nothing and are spread by day and product.
     # There may be as many of both as visits, which is more than an estimate from compressed files says: neither this side nor the one in flag_neighbours is broadcast.
-    met = located.withColumn("_own", own).join(address_neighbours(located, days).hint("merge"), ["adresse", "date_sinistre", "produit"], "left")
+    met = located.withColumns({"_own": own, **_recent(cfg, "client_id")})
+    met = met.join(address_neighbours(located, days).hint("merge"), ["adresse", "date_sinistre", "produit"], "left")
     return met.withColumn("_clustered", F.coalesce(F.col("others") > F.col("_own"), F.lit(False))).drop("_own", "others")
 
 
@@ -145,9 +174,7 @@ def flag_cluster(claims: DataFrame, clients: DataFrame, days: int = 30) -> DataF
 
 def flag_neighbours(claims: DataFrame, clients: DataFrame, cfg: FraudSettings) -> DataFrame:
     """The flags of ``flag_frequent`` and ``flag_cluster`` from the same visits, taken back by one join."""
-    located = located_visits(claims, clients)
-    recent = _around("_claims", cfg.frequent_claimant_window, 0, "client_id")
-    visits = clustered(located.withColumn("_busy", recent >= cfg.frequent_claimant_count), cfg.address_cluster_days)
+    visits = clustered(located_visits(claims, clients), cfg.address_cluster_days, cfg)
     found = visits.filter(F.col("_busy") | F.col("_clustered"))
     # A claim without product has a visit of its own for the frequent rule, so that the product is compared with nulls.
     found = found.select(*[F.col(c).alias(f"_{c}") for c in VISIT], "_busy", "_clustered", slice_of(*VISIT).alias("_found"))

@@ -48,17 +48,18 @@ def _quarterly(spark, sf):
 ASSESSED = ("claim_id", "policy_id", "client_id", "produit", "date_sinistre", "date_souscription", "montant_declare", "delai_declaration_jours")
 
 
-def _assessed(spark, sf, *more):
-    """Insured claims as the fraud rules read them. The rules read them several times, from the same shuffles of lines and policies."""
-    return d.insured_claims(spark, sf, region=False).select(*ASSESSED, *more)
+def _assessed(spark, sf, *more, shared=False):
+    """Insured claims as the fraud rules read them. The rules read them several times, from the same shuffles of lines and policies. ``shared``
+    keeps all columns in the shuffle of the lines, so that a reader of other claims in the query shares it."""
+    return d.insured_claims(spark, sf, region=False, declared=not more and not shared).select(*ASSESSED, *more)
 
 
 def _assess(spark, sf, claims):
     return fraud.assess(claims, d.policies(spark, sf, region=False), d.clients(spark, sf), FRAUD)
 
 
-def _fraud(spark, sf):
-    return _assess(spark, sf, _assessed(spark, sf))
+def _fraud(spark, sf, shared=False):
+    return _assess(spark, sf, _assessed(spark, sf, shared=shared))
 
 
 def _churn(spark, sf):
@@ -422,7 +423,7 @@ def q_silver_suite(spark, sf):
 @query
 def q_gold_suite(spark, sf):
     out = expectations.gold_suite(
-        _premiums(spark, sf), _quarterly(spark, sf), _fraud(spark, sf), _churn(spark, sf), d.policies(spark, sf)
+        _premiums(spark, sf), _quarterly(spark, sf), _fraud(spark, sf, shared=True), _churn(spark, sf), d.policies(spark, sf)
     )
     return out.withColumn("observed", F.round("observed", 9))
 
@@ -446,7 +447,7 @@ def q23_anomalies(spark, sf):
 
 @query
 def m1_null_rates(spark, sf):
-    bronze, silver, gold = clean.cast_claims(messy(spark, sf)), d.timed(d.claims(spark, sf)), _fraud(spark, sf)
+    bronze, silver, gold = clean.cast_claims(messy(spark, sf)), d.timed(d.claims(spark, sf)), _fraud(spark, sf, shared=True)
     return reports.null_rates(
         {
             ("bronze", "claims"): (bronze, ("claim_id", "policy_id", "client_id", "montant_declare", "statut")),
@@ -498,7 +499,7 @@ def m4_table_metrics(spark, sf):
             "silver_clients": (d.clients(spark, sf), {}),
             "silver_policies": (d.policies(spark, sf), {}),
             "gold_portfolio_kpis": (_quarterly(spark, sf), {}),
-            "gold_fraud_assessment": (_fraud(spark, sf), fraud_extras),
+            "gold_fraud_assessment": (_fraud(spark, sf, shared=True), fraud_extras),
             "gold_churn_scores": (_churn(spark, sf), segments),
             "gold_absent": (None, {}),
         }
@@ -528,7 +529,7 @@ def m6_latest_run(spark, sf):
 
 @query
 def m7_global_kpis(spark, sf):
-    return reports.global_kpis(d.timed(d.claims(spark, sf)), d.policies(spark, sf), d.clients(spark, sf), _fraud(spark, sf))
+    return reports.global_kpis(d.timed(d.claims(spark, sf)), d.policies(spark, sf), d.clients(spark, sf), _fraud(spark, sf, shared=True))
 
 
 # Dashboard -----------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ the same values.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,11 +88,11 @@ def policies(spark: SparkSession, sf_dir: str, region: bool = True) -> DataFrame
     )
 
 
-def lineitems(spark: SparkSession, sf_dir: str, of_orders: bool | None = None) -> DataFrame:
+def lineitems(spark: SparkSession, sf_dir: str, of_orders: bool | None = None, wanted: Sequence[str] | None = None) -> DataFrame:
     """One row per order line: the latest shipment, ties by the columns that claims use.
 
     With ``of_orders`` only the lines of an order, dealt by it, so that this aggregate, a join with the order and all readers in a query share one shuffle of
-    the lines. A task then holds whole orders. With False only the lines without one.
+    the lines. A task then holds whole orders. With False only the lines without one. Columns behind the last one ``wanted`` are not read.
     """
     used = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey",
@@ -100,23 +100,31 @@ def lineitems(spark: SparkSession, sf_dir: str, of_orders: bool | None = None) -
     )
     if of_orders is not None:
         used = used.filter("l_orderkey IS NOT NULL").repartition("l_orderkey") if of_orders else used.filter("l_orderkey IS NULL")
-    return latest_per_key(used, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    return latest_per_key(used, ["l_orderkey", "l_linenumber"], ["l_shipdate"], wanted)
 
 
-def claim_lines(spark: SparkSession, sf_dir: str, of_orders: bool | None = None) -> DataFrame:
-    """Claims without their client and region, which the order line does not carry."""
+#: Columns of an order line behind those of a claim that dates and the declared amount are made of.
+DECLARED = ("l_shipdate", "l_partkey", "l_extendedprice")
+
+
+def claim_lines(spark: SparkSession, sf_dir: str, of_orders: bool | None = None, declared: bool = False) -> DataFrame:
+    """Claims without their client and region, which the order line does not carry. With ``declared`` only what is known at the declaration: keys, the two
+    first dates and the declared amount."""
     price = cents("l_extendedprice")
     event = F.col("l_shipdate").cast("date")
-    declared = F.date_add(event, (F.col("l_partkey") % 300 - 10).cast("int"))
+    declared_on = F.date_add(event, (F.col("l_partkey") % 300 - 10).cast("int"))
     code = F.concat("l_returnflag", "l_linestatus")
     discount = F.round(F.col("l_discount") * 100).cast("bigint")
+    keys = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"), F.col("l_orderkey").alias("policy_id")
+    if declared:
+        amount = F.col("l_extendedprice").alias("montant_declare")
+        return lineitems(spark, sf_dir, of_orders, DECLARED).select(*keys, event.alias("date_sinistre"), declared_on.alias("date_declaration"), amount)
     return lineitems(spark, sf_dir, of_orders).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
-        F.col("l_orderkey").alias("policy_id"),
+        *keys,
         pick(CLAIM_TYPES, F.col("l_partkey") % 12).alias("type_sinistre"),
         event.alias("date_sinistre"),
-        declared.alias("date_declaration"),
-        F.when(F.col("l_suppkey") % 3 != 0, F.date_add(declared, (F.col("l_suppkey") % 180).cast("int"))).alias("date_cloture"),
+        declared_on.alias("date_declaration"),
+        F.when(F.col("l_suppkey") % 3 != 0, F.date_add(declared_on, (F.col("l_suppkey") % 180).cast("int"))).alias("date_cloture"),
         F.col("l_extendedprice").alias("montant_declare"),
         (F.floor(price * 8 / 10) / 100.0).alias("montant_provision"),
         (F.floor(price * (100 - discount) / 100) / 100.0).alias("montant_indemnise"),
@@ -130,11 +138,12 @@ def claim_lines(spark: SparkSession, sf_dir: str, of_orders: bool | None = None)
 
 
 def _joined(
-    spark: SparkSession, sf_dir: str, join: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda lines: lines
+    spark: SparkSession, sf_dir: str, join: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda lines: lines,
+    declared: bool = False,
 ) -> DataFrame:
     """Prepared claims, joined with their orders where their lines were dealt by order. Lines without an order match none: they are added with nulls, so that
     they do not meet in one task."""
-    of_orders, others = (prepare(claim_lines(spark, sf_dir, of)) for of in (True, False))
+    of_orders, others = (prepare(claim_lines(spark, sf_dir, of, declared)) for of in (True, False))
     return join(of_orders).unionByName(others, allowMissingColumns=True)
 
 
@@ -176,11 +185,11 @@ def timed(claims: DataFrame) -> DataFrame:
     return with_period(declaration_delay(claims))
 
 
-def insured_claims(spark: SparkSession, sf_dir: str, region: bool = True) -> DataFrame:
-    """Claims with delay, period, client, region and the columns of their policy: one join serves both."""
+def insured_claims(spark: SparkSession, sf_dir: str, region: bool = True, declared: bool = False) -> DataFrame:
+    """Claims with delay, period, client, region and the columns of their policy: one join serves both. ``declared`` as in ``claim_lines``."""
     book = policies(spark, sf_dir, region)
     columns = (*POLICY_COLUMNS, "client_id", "region_code") if region else (*POLICY_COLUMNS, "client_id")
-    joined = _joined(spark, sf_dir, lambda lines: with_policy(lines, book, columns, dealt=True), timed)
+    joined = _joined(spark, sf_dir, lambda lines: with_policy(lines, book, columns, dealt=True), timed, declared)
     return joined.withColumn("has_valid_policy", F.col("produit").isNotNull())
 
 

@@ -71,3 +71,32 @@ def test_lines_are_shuffled_once_for_all_readers(spark, tables, name):
     # beside it only the lines without an order, by their number
     assert sorted("l_linenumber#" in line for line in moved if "(l_orderkey#" in line) == [False, True]
     assert sum("(policy_id#" in line for line in moved) == 1  # the policies, and no claims
+
+
+def test_declared_claims_leave_out_what_decides_nothing(spark, tables, tmp_path):
+    """Columns that only tell apart lines with equal dates and amounts are not shuffled, and the claims are the same; ties by supplier still count."""
+    day = datetime(1997, 5, 1)
+    rng = random.Random(11)
+    lines = [
+        (rng.choice([None, 1, 2, 3]), rng.choice([None, 5, 6]), rng.choice([None, 7, 8]), rng.randrange(1, 3), rng.choice([None, 10.0, 20.0]),
+         rng.choice([None, 0.01, 0.02]), rng.choice("RAN"), rng.choice("OF"), rng.choice([None, day, day + timedelta(1)]))
+        for _ in range(200)
+    ]
+    spark.createDataFrame(lines, LINE).repartition(5).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for sf in (str(tmp_path), tables):
+        slim = d.claim_lines(spark, sf, declared=True)
+        assert rows(slim) == rows(d.claim_lines(spark, sf).select(slim.columns)) and slim.count() > 5
+    plan = QUERIES["m2_score_bands"](spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" in plan and not {"l_discount", "l_returnflag", "l_linestatus"} & set(plan.replace("#", " ").replace("[", " ").replace(",", " ").split())
+
+
+@pytest.mark.parametrize("name", ["b9_trigger_totals", "m2_named_bands", "m2_score_bands", "r7_suspects_by_product"])
+def test_visits_are_dealt_by_address_once(spark, tables, name):
+    """Visits of addresses that are not crowded meet in one shuffle for the sums of both rules: six were made of the visits before."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum("REPARTITION_BY_COL" in line and "(adresse#" in line for line in plan.split("\n")) == 1

@@ -140,3 +140,33 @@ def test_visits_are_flagged_by_one_join(frame, spark):
     plan = fraud.flag_high_amount(got.withColumn("montant_declare", F.lit(1.0)))._jdf.queryExecution().optimizedPlan().toString()
     # the visits meet the claims once; the statistics of the products are broadcast
     assert plan.count("_claims#") and "strategy=broadcast" in plan
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_crowded_addresses_have_the_same_flags(frame, seed, monkeypatch):
+    """Addresses of more clients than a task should hold are counted per day and product first: all, some or none of them, with the same flags."""
+    rng = random.Random(seed)
+    address = {f"k{i}": "HOT" if i < 5 else rng.choice(["A", "B", "", None]) for i in range(14)}
+    claims = [
+        (
+            i, None if rng.random() < 0.05 else f"k{rng.randrange(16)}", rng.choice(["auto", "vie", "", None]),
+            None if rng.random() < 0.05 else D(2020, 1, 1) + timedelta(rng.randrange(2500)),
+        )
+        for i in range(400)
+    ]
+    df = frame(claims, "claim_id int, client_id string, produit string, date_sinistre date").repartition(3)
+    clients = frame([*address.items(), (None, "HOT"), (None, None), ("k1", "HOT")], "client_id string, adresse string")
+    frequent, cluster = brute_force(claims, address, count=5, back=500)
+    by_brute = {i: any(
+        c and c2 and p is not None and p2 is not None and d and d2 and address.get(c) is not None and address.get(c) == address.get(c2)
+        and c != c2 and p != p2 and abs((d - d2).days) <= 30 for _, c2, p2, d2 in claims
+    ) for i, c, p, d in claims}
+    for crowd in (0, 4, 1000):
+        located = fraud.located_visits(df, clients, crowd)
+        assert located.filter("_crowded").isEmpty() == (crowd == 1000)
+        monkeypatch.setattr(fraud.located_visits, "__defaults__", (crowd,))
+        got = fraud.flag_neighbours(df, clients, fraud.FraudSettings(frequent_claimant_count=5, frequent_claimant_window=500)).collect()
+        assert {r["claim_id"]: r["flag_frequent_claimant"] for r in got} == frequent and len(got) == 400
+        assert {r["claim_id"]: r["flag_address_cluster"] for r in got} == {i: int(v) for i, v in by_brute.items()}
+        assert by_id(fraud.flag_cluster(df, clients), "flag_address_cluster") == {i: int(v) for i, v in by_brute.items()}
+    assert 0 < sum(by_brute.values()) < 400
