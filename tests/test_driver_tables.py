@@ -92,7 +92,7 @@ def test_declared_claims_leave_out_what_decides_nothing(spark, tables, tmp_path)
 
 @pytest.mark.parametrize("name", ["b9_trigger_totals", "m2_named_bands", "m2_score_bands", "r7_suspects_by_product"])
 def test_visits_are_dealt_by_address_once(spark, tables, name):
-    """Visits of addresses that are not crowded meet in one shuffle for the sums of both rules: six were made of the visits before."""
+    """Visits of addresses that are not crowded meet in one shuffle for the sums of both rules: it took five before."""
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
